@@ -16,9 +16,10 @@ from curbline.functions import dates
 from curbline.operators import clean, keys as row_keys
 
 
-def _replace(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _without_keys_of(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows whose key the batch does not hold; reads only the batch's keys."""
     kept = target.join(batch.select(*keys).distinct(), list(keys), "left_anti")
-    return kept.select(*target.columns).unionByName(batch.select(*target.columns))
+    return kept.select(*target.columns)
 
 
 def merge_by_key(target: DataFrame, updates: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -26,12 +27,13 @@ def merge_by_key(target: DataFrame, updates: DataFrame, key: Sequence[str]) -> D
 
     Several updates of one key count as one: the first in column order.
     """
-    return _replace(target, row_keys.distinct_on(updates, key), key)
+    fresh = row_keys.distinct_on(updates.select(*target.columns), key)
+    return _without_keys_of(target, updates, key).unionByName(fresh)
 
 
 def replace_by_key(target: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
     """Target rows whose key is in the batch go; the whole batch comes in."""
-    return _replace(target, batch, key)
+    return _without_keys_of(target, batch, key).unionByName(batch.select(*target.columns))
 
 
 def upsert_month(

@@ -29,8 +29,7 @@ def _group_partials(df: DataFrame, keys: Sequence[str | Column], measures: Seque
     aggs = [F.count("dwid").alias("trips"), F.count(F.lit(1)).alias("rows")]
     for name in measures:
         column = _MEASURES[name]
-        aggs.append(money.amount_sum(column).alias(f"{name}_sum"))
-        aggs.append(F.count(column).alias(f"{name}_count"))
+        aggs += [*money.sum_parts(column, name), F.count(column).alias(f"{name}_count")]
     for service in fixed.METERED_SERVICES:
         aggs.append(money.filtered_count("dwid", _service(service)).alias(f"{service}_trips"))
     return df.groupBy(*keys).agg(*aggs)
@@ -40,21 +39,16 @@ def _combine_partials(df: DataFrame, keys: Sequence[str], measures: Sequence[str
     """Add up partial groups that share a label."""
     names = ["trips", "rows", *[f"{s}_trips" for s in fixed.METERED_SERVICES]]
     for name in measures:
-        names += [f"{name}_sum", f"{name}_count"]
-    return df.groupBy(*keys).agg(
-        *[
-            F.sum(F.col(n).cast(money.TOTAL) if n.endswith("_sum") else F.col(n)).alias(n)
-            for n in names
-        ]
-    )
+        names += [f"{name}_high", f"{name}_low", f"{name}_count"]
+    return df.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in names])
 
 
 def _total(name: str) -> Column:
-    return money.round_money(F.col(f"{name}_sum"))
+    return money.total_money(money.joined_sum(name))
 
 
 def _mean(name: str) -> Column:
-    return money.mean_money(F.col(f"{name}_sum"), F.col(f"{name}_count"))
+    return money.mean_money(money.joined_sum(name), F.col(f"{name}_count"))
 
 
 def _service_counts() -> list[Column]:

@@ -156,8 +156,9 @@ def job_build_fact(spark, sf):
     )
 )
 def job_build_summaries(spark, sf):
+    fact = tables.write_table(standins.fact(spark, sf), scratch_path(spark, "fact"))
     stored = jobs.build_summaries(
-        standins.fact(spark, sf), standins.zones(spark, sf), scratch_path(spark, "out"), csv=True
+        fact, standins.zones(spark, sf), scratch_path(spark, "out"), csv=True
     )
     payment = stored["payment_summary"].select(
         F.lit("payment").alias("summary"),
