@@ -248,6 +248,19 @@ def build_fact(
     )
 
 
+SUMMARIES = (
+    "payment_summary",
+    "rate_code_summary",
+    "vendor_summary",
+    "monthly_service_counts",
+    "daily_summary",
+    "pickup_zone_summary",
+    "dropoff_zone_summary",
+    "flow_matrix",
+    "time_dimension",
+)
+
+
 def summary_frames(fact: DataFrame, zones: DataFrame) -> dict[str, DataFrame]:
     """All summaries of the fact from two scans of it, plus the time dimension.
 
@@ -283,12 +296,12 @@ def build_summaries(
     csv: bool = False,
 ) -> dict[str, DataFrame]:
     """Write the chosen summaries, and CSV exports of them if wanted."""
-    frames = summary_frames(fact, zones)
-    unknown = set(which or ()) - set(frames)
+    unknown = set(which or ()) - set(SUMMARIES)
     if unknown:
         raise ValueError(f"unknown summaries: {sorted(unknown)}")
+    frames = summary_frames(fact, zones)
     stored = {}
-    for name in which or frames:
+    for name in which or SUMMARIES:
         frames[name].write.mode("overwrite").parquet(f"{out}/{name}")
         stored[name] = fact.sparkSession.read.parquet(f"{out}/{name}")
         if csv:

@@ -107,10 +107,14 @@ def read_lookup(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
 
 
 def load_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Typed CSV; the header must name the schema's columns, in order."""
+    """Typed CSV; the header must name the schema's columns, in order.
+
+    An empty field is NULL, a quoted empty field is empty text. Spark tells them
+    apart only when the text standing for NULL is not itself empty.
+    """
     return (
         spark.read.schema(schema)
-        .options(**CSV_OPTIONS, enforceSchema="false", mode="FAILFAST")
+        .options(**CSV_OPTIONS, enforceSchema="false", mode="FAILFAST", nullValue="\u0000")
         .csv(path)
     )
 
