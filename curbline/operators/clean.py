@@ -129,12 +129,13 @@ def sample_to(df: DataFrame, n: int, seed: int | None = None) -> DataFrame:
 
 
 def since_high_watermark(df: DataFrame, target: DataFrame, ts_col: str) -> DataFrame:
-    """Rows newer than the newest row of the target; all rows if it has none.
+    """Rows newer than the newest row of the target; all rows with a time if it has none.
 
-    The target's maximum is a scalar subquery, evaluated once by Spark.
+    The target's maximum is a scalar subquery. Spark runs it first and hands its
+    value to the Parquet scan like any other bound.
     """
-    newest = target.select(F.max(ts_col).alias("newest")).scalar()
-    return df.where(F.coalesce(F.col(ts_col) > newest, newest.isNull()))
+    newest = F.coalesce(F.max(ts_col), dates.ntz(datetime(1, 1, 1)))
+    return df.where(F.col(ts_col) > target.select(newest.alias("newest")).scalar())
 
 
 def to_timestamps(df: DataFrame, *cols: str) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,6 +67,29 @@ def top_k(df: DataFrame, measure: str, k: int, tiebreak: Sequence[str]) -> DataF
     return df.orderBy(F.col(measure).desc(), *[F.col(c).asc() for c in tiebreak]).limit(k)
 
 
-def limit_each(frames: Sequence[DataFrame], n: int, order: Sequence[str]) -> DataFrame:
-    """The first ``n`` rows of each frame, then their union."""
-    return union_services([f.orderBy(*order).limit(n) for f in frames])
+def limit_each(
+    frames: Sequence[DataFrame], n: int, order: Sequence[str], coarse: Column | None = None
+) -> DataFrame:
+    """The first ``n`` rows of each frame, then their union.
+
+    ``coarse`` is a value with few distinct results that grows with the first
+    order column, such as its date. Counting rows per coarse value tells where
+    the ``n``-th row lies, so that only rows up to there are ordered; without it
+    every task would hand ``n`` rows to the one task that merges them.
+    """
+    return union_services(
+        [
+            (f if coarse is None else _up_to_row(f, n, coarse)).orderBy(*order).limit(n)
+            for f in frames
+        ]
+    )
+
+
+def _up_to_row(df: DataFrame, n: int, coarse: Column) -> DataFrame:
+    counts = df.groupBy(coarse.alias("at")).agg(F.count(F.lit(1)).alias("rows"))
+    # One task sums the counts in order: as many rows as there are coarse values.
+    running = counts.where(F.col("at").isNotNull()).select(
+        "at", F.sum("rows").over(W.orderBy("at")).alias("so_far")
+    )
+    cutoff = running.where(F.col("so_far") >= n).agg(F.min("at").alias("at")).scalar()
+    return df.where(F.coalesce(coarse <= cutoff, F.lit(True)))

@@ -84,23 +84,20 @@ def publish(
     partitions cannot remove one, and keeping its old rows would be wrong.
     """
     spark = rows.sparkSession
-    image = rows
     if not overwrite:
         existing = _existing_months(spark, path, rows.schema, first, last)
-        image = merge.merge_by_key(existing, rows, key)
-    image = tables.write_table(image, scratch_path(spark, "image"))
+        rows = merge.merge_by_key(existing, rows, key)
+    image = tables.month_image(rows, scratch_path(spark, "image"))
     if check is not None:
         check(image)
     if overwrite:
         stale = _stored_months(spark, path, first, last).join(
-            shape.add_year_month(image).select("year", "month").distinct(),
-            ["year", "month"],
-            "left_anti",
+            image.select("year", "month").distinct(), ["year", "month"], "left_anti"
         )
         left = [f"{r.year:04d}_{r.month:02d}" for r in stale.orderBy("year", "month").collect()]
         if left:
             raise quality.QualityError(f"no new rows for months {left} of {path}; drop them first")
-    tables.overwrite_months(image, path)
+    tables.copy_months(image, path)
     return files.read_months(spark, path, first, last)
 
 

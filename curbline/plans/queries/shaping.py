@@ -191,4 +191,5 @@ _ORDER = ", ".join(f"{c} NULLS FIRST" for c in ["pickup_datetime", *FACT_COLUMNS
 def limit_each(spark, sf):
     """The first 10,000 trips of each service, as the reports sample them."""
     parts = [standins.fact_part(spark, sf, name) for name in fixed.SERVICES]
-    return sets.limit_each(parts, 10000, ["pickup_datetime", *FACT_COLUMNS])
+    order = ["pickup_datetime", *FACT_COLUMNS]
+    return sets.limit_each(parts, 10000, order, F.to_date("pickup_datetime"))

@@ -42,6 +42,31 @@ def overwrite_months(df: DataFrame, base: str, ts_col: str = "pickup_datetime")
     )
 
 
+def month_image(df: DataFrame, path: str, ts_col: str = "pickup_datetime") -> DataFrame:
+    """Write month partitions to a new path and read them back, which cuts the lineage."""
+    overwrite_months(df, path, ts_col)
+    stored = T.StructType(
+        [
+            *[f for f in df.schema.fields if f.name not in MONTHS],
+            *[T.StructField(name, T.IntegerType()) for name in MONTHS],
+        ]
+    )
+    return df.sparkSession.read.schema(stored).parquet(path)
+
+
+def copy_months(image: DataFrame, base: str) -> None:
+    """Put the months of an image over those of a table.
+
+    The image's files hold one month each, so nothing is shuffled again.
+    """
+    (
+        image.write.partitionBy(*MONTHS)
+        .option("partitionOverwriteMode", "dynamic")
+        .mode("overwrite")
+        .parquet(base)
+    )
+
+
 def write_day_files(
     df: DataFrame, base: str, ts_col: str = "pickup_datetime", column: str = "partition_date"
 ) -> None:

@@ -108,16 +108,19 @@ def write_jdbc(
     batch_size: int = 10000,
     max_writers: int = 64,
     keys: Sequence[str] = tuple(fixed.PRIMARY_KEY),
+    rows: int | None = None,
     extra: Mapping[str, str] | None = None,
 ) -> None:
     """Write a table in batches from several tasks.
 
     Rows are spread by the whole key, which is unique, so no task gets a hot
-    share. ``max_writers`` bounds the open connections, not the rows.
+    share. ``max_writers`` bounds the open connections, not the rows. Give
+    ``rows`` when the row count is known; otherwise the frame is counted first.
     """
     if mode not in ("append", "overwrite"):
         raise ValueError(f"unknown mode: {mode}")
-    writers = min(writer_count(df.count(), batch_size), max_writers)
+    total = df.count() if rows is None else rows
+    writers = min(writer_count(total, batch_size), max_writers)
     options = {**table_options(url, table, extra), "batchsize": str(batch_size)}
     df.repartition(writers, *[F.col(k) for k in keys]).write.format("jdbc").options(
         **options

@@ -132,6 +132,15 @@ def test_top_k_breaks_ties_by_name(frame):
     assert "TakeOrderedAndProject" in plan(sets.top_k(df, "n", 3, ["name"]))
 
 
+def test_limit_each_with_and_without_coarse_value(frame, rows):
+    df = frame("v int, name string", *[(i % 7, f"n{i:02d}") for i in range(40)], (None, "first"))
+    for n in (0, 1, 2, 7, 20, 41, 100):
+        plain = rows(sets.limit_each([df, df], n, ["v", "name"]))
+        assert len(plain) == 2 * min(n, 41)
+        assert rows(sets.limit_each([df, df], n, ["v", "name"], F.col("v"))) == plain
+        assert rows(sets.limit_each([df, df], n, ["v", "name"], F.floor(F.col("v") / 2))) == plain
+
+
 def test_cast_turns_bad_values_into_null(frame, rows):
     df = frame("a string, b string", ("1", "x"), ("y", "z"))
     schema = schemas.struct([("a", "int"), ("missing", "float")])
