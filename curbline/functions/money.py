@@ -53,6 +53,9 @@ def round_money(value: Column) -> Column:
 
 
 def filtered_count(value: Column | str, condition: Column) -> Column:
-    """``COUNT(value) FILTER (WHERE condition)`` (aggregate)."""
+    """``COUNT(value) FILTER (WHERE condition)`` (aggregate).
+
+    A value that cannot be NULL is not even computed.
+    """
     column = F.col(value) if isinstance(value, str) else value
-    return F.count(F.when(condition, column))
+    return F.count_if(condition & column.isNotNull())

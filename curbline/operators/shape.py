@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,15 +20,16 @@ def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     )
 
 
+def _as(found: T.StructField, wanted: T.DataType) -> Column:
+    """A column in the wanted type; unchanged, and so still NOT NULL, if it has it."""
+    column = F.col(found.name)
+    return column if found.dataType == wanted else column.try_cast(wanted).alias(found.name)
+
+
 def cast_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Cast the declared columns that exist; a value that does not fit is NULL."""
     types = {f.name: f.dataType for f in schema.fields}
-    return df.select(
-        *[
-            F.col(name).try_cast(types[name]).alias(name) if name in types else F.col(name)
-            for name in df.columns
-        ]
-    )
+    return df.select(*[_as(f, types.get(f.name, f.dataType)) for f in df.schema.fields])
 
 
 def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -71,9 +72,12 @@ def prefix_columns(df: DataFrame, prefix: str) -> DataFrame:
 
 def align_schema(df: DataFrame, target: T.StructType) -> DataFrame:
     """The target's columns by name: missing ones NULL, extra ones dropped."""
+    found = {f.name: f for f in df.schema.fields}
     return df.select(
         *[
-            (F.col(f.name).try_cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+            _as(found[f.name], f.dataType)
+            if f.name in found
+            else F.lit(None).cast(f.dataType).alias(f.name)
             for f in target.fields
         ]
     )

@@ -16,6 +16,8 @@ def build_session(name: str = "curbline", cpus: int | str = "*", **conf: str) ->
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        # Recording the call site of every Column doubles the time to build a plan.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
     )
     for key, value in conf.items():
