@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import re
 import tempfile
 import uuid
 
@@ -31,12 +33,23 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path for written intermediate tables.
 
     It lies in the folder the session names in ``spark.checkpoint.dir``, which
-    every executor can reach. Only a local session may do without one.
+    every executor can reach. Only a session whose executors share this machine's
+    disk, as in tests, may do without one.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="curbline-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _own_root()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+@functools.cache
+def _own_root() -> str:
+    return tempfile.mkdtemp(prefix="curbline-")
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a written table, in whatever store it lies."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

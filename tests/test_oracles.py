@@ -8,9 +8,10 @@ import pytest
 from compare import connect, difference
 
 import __spark_entry__ as contract
+from curbline.plans.queries import all_oracles, all_queries
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
