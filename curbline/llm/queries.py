@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbline.llm import exact_dedup, line_dedup, packing, url_filter, warc
+from curbline.llm import exact_dedup, jaccard_join, line_dedup, packing, url_filter, warc
 from curbline.llm.common import table
 from curbline.session import scratch_path
 
@@ -113,6 +113,11 @@ def op4_line_dedup(spark, sf_dir):
     return kept.select("doc_id", "n_lines", "n_removed", digest.alias("text_sha256"))
 
 
+@query()
+def op7_jaccard_join(spark, sf_dir):
+    return jaccard_join.jaccard_classes(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op8_warc(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
