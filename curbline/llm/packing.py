@@ -6,8 +6,8 @@ first. Pieces of equal length form a bucket; each piece is a sequence of its own
 offset is 0 and a batch from one bucket needs no padding.
 
 Ids are those of the tokenizer on the whole text. Its pre-tokenizer never joins words over
-white space, so texts are cut at ASCII white space, and each different word of a task is
-tokenized once and then looked up. That keeps memory bounded for texts of any length.
+white space, so texts are cut at ASCII white space, and a worker tokenizes each
+different word once and then looks it up. That keeps memory bounded for texts of any length.
 
 Defined results: a NULL or empty text is the end id alone; a NULL ``doc_id`` stays NULL;
 repeated rows are packed each; an empty table gives an empty table; further columns of the
@@ -16,6 +16,7 @@ input are not read.
 
 from __future__ import annotations
 
+import functools
 import os
 import zlib
 from collections.abc import Iterator
@@ -30,8 +31,8 @@ from curbline.llm.common import scratch, slices
 
 MAX_TOKENS = 4096
 END_ID = 2
-#: Words a task remembers; when there are more, it starts anew.
-CACHE_WORDS = 400_000
+#: Words a Python worker remembers; when there are more, it starts anew.
+CACHE_WORDS = 1_000_000
 #: This special token never stands within a word that is looked up.
 _MARK = "<|startoftext|>"
 _MARK_ID = 49406
@@ -60,36 +61,39 @@ class WordIds:
         self.used = 0
         self.starts, self.sizes = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
 
-    def _encode(self, words: list[str]) -> list[np.ndarray]:
-        out: list[np.ndarray] = []
-        for k in range(0, len(words), 2000):
-            part = words[k : k + 2000]
-            ids = self.tokenizer.encode(_MARK.join(part), add_special_tokens=False).ids
-            ids = np.array(ids, dtype=np.uint16)
-            out += np.split(ids, np.flatnonzero(ids == _MARK_ID))
-            for n in range(k + 1, len(out)):
-                out[n] = out[n][1:]
-        return out
-
     def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if "<|" not in w]
         rare = [w for w in words if "<|" in w]
-        found = self._encode(plain) if plain else []
-        found += [np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, np.uint16) for w in rare]
-        for word, ids in zip(plain + rare, found, strict=True):
-            n = self.number[word] = len(self.number)
-            while self.used + len(ids) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            if n >= len(self.starts):
-                self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-                self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
-            self.ids[self.used : self.used + len(ids)] = ids
-            self.starts[n], self.sizes[n] = self.used, len(ids)
-            self.used += len(ids)
+        if rare:
+            words = [w for w in words if "<|" not in w]
+        for k in range(0, len(words), 2000):
+            part = words[k : k + 2000]
+            ids = np.array(self.tokenizer.encode(_MARK.join(part), add_special_tokens=False).ids, np.uint16)
+            marks = np.flatnonzero(ids == _MARK_ID)
+            ends = np.append(marks, len(ids)) - np.arange(len(part))
+            self._store(part, ids[ids != _MARK_ID], np.diff(ends, prepend=0))
+        for word in rare:
+            ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, np.uint16)
+            self._store([word], ids, np.array([len(ids)]))
+
+    def _store(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        n, stop = len(self.number), len(self.number) + len(words)
+        self.number.update(zip(words, range(n, stop), strict=True))
+        if stop > len(self.starts):
+            self.starts = np.resize(self.starts, 2 * stop)
+            self.sizes = np.resize(self.sizes, 2 * stop)
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.resize(self.ids, 2 * (self.used + len(ids)))
+        self.starts[n:stop] = self.used + np.cumsum(sizes) - sizes
+        self.sizes[n:stop] = sizes
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of every text, without the end id."""
-        words = pc.ascii_split_whitespace(texts.fill_null(""))
+        texts = texts.fill_null("")
+        # The tokenizer lower-cases all but its special tokens, which hold "<|".
+        texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        words = pc.ascii_split_whitespace(texts)
         coded = words.flatten().dictionary_encode()
         names = coded.dictionary.to_pylist()
         if len(self.number) + len(names) > self.cache_words and self.number:
@@ -106,6 +110,12 @@ class WordIds:
         return [flat[a:b] for a, b in zip(marks[:-1], marks[1:], strict=True)]
 
 
+@functools.cache
+def _worker_words(tokenizer_path: str) -> WordIds:
+    """One for all tasks of a worker."""
+    return WordIds(tokenizer_path)
+
+
 _PIECES = "doc_id long, start long, length long, doc_tokens long, ids_crc32 long, ids array<int>"
 
 
@@ -126,7 +136,7 @@ def pack(
     names = [c.split()[0] for c in _PIECES.split(", ")]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(tokenizer_path)
+        words = _worker_words(tokenizer_path)
         for batch in batches:
             for part in slices(batch, "text"):
                 docs, starts, lengths, totals, sums, kept = [], [], [], [], [], []
