@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbline.llm import exact_dedup, jaccard_join, line_dedup, packing, url_filter, warc
+from curbline.llm import decontaminate, exact_dedup, jaccard_join, line_dedup, packing, quality_crf, url_filter, warc
 from curbline.llm.common import table
 from curbline.session import scratch_path
 
@@ -113,6 +113,18 @@ def op4_line_dedup(spark, sf_dir):
     return kept.select("doc_id", "n_lines", "n_removed", digest.alias("text_sha256"))
 
 
+@query()
+def op5_quality_crf(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = quality_crf.train(docs, table(spark, sf_dir, "labels"))
+    return quality_crf.score(docs, model)
+
+
+@query()
+def op6_decontaminate(spark, sf_dir):
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query()
 def op7_jaccard_join(spark, sf_dir):
     return jaccard_join.jaccard_classes(table(spark, sf_dir, "documents"))
