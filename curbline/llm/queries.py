@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbline.llm import decontaminate, exact_dedup, jaccard_join, line_dedup, packing, quality_crf, url_filter, warc
+from curbline.llm import decontaminate, exact_dedup, jaccard_join, line_dedup, packing, quality_crf, suffix_dedup, url_filter, warc
 from curbline.llm.common import table
 from curbline.session import scratch_path
 
@@ -147,3 +147,8 @@ def op8_warc(spark, sf_dir):
 @query()
 def op9_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
+
+
+@query()
+def op10_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
