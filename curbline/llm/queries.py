@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbline.llm import decontaminate, exact_dedup, jaccard_join, line_dedup, packing, quality_crf, suffix_dedup, url_filter, warc
+from curbline.llm import decontaminate, exact_dedup, jaccard_join, line_dedup, packing, paragraph_dedup, quality_crf, suffix_dedup, url_filter, warc
 from curbline.llm.common import table
 from curbline.session import scratch_path
 
@@ -48,6 +48,11 @@ SITE_RULES = [
 ]
 
 
+@query()
+def op1_paragraph_dedup(spark, sf_dir):
+    return paragraph_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 @query("""
 WITH parts AS (
     SELECT page_id, CASE WHEN strpos(url, '://') > 0
