@@ -223,54 +223,68 @@ class BlindTrie:
 
 
 def deep_shallow(strings: np.ndarray, shallow: int = SHALLOW) -> Iterator[list[int]]:
-    """Row numbers of equal strings (rows of bytes), strings in order."""
+    """Row numbers of equal strings (rows of bytes) that aren't single, strings in order.
+
+    The quicksort goes over all groups of a depth at once; strings alone in their group leave.
+    """
     n, width = strings.shape
     padded = np.zeros((n, -(-width // 8) * 8), np.uint8)
     padded[:, :width] = strings
-    chars = padded.view(">u8").astype(np.uint64)
-    whole = strings.tobytes()
-    stack = [(np.arange(n), 0)]
-    while stack:
-        rows, depth = stack.pop()
-        if len(rows) == 1:
-            yield rows.tolist()
-            continue
-        if depth == min(shallow, chars.shape[1]):
-            trie: BlindTrie | None = None
-            for r in rows.tolist():
-                string = whole[r * width : (r + 1) * width]
-                if trie is None:
-                    trie = BlindTrie(string, r)
-                else:
-                    trie.insert(string, r)
-            yield from trie.groups()
+    chars = padded.view(">u8")
+    rows, group = np.arange(n), np.zeros(n, np.int64)
+    for depth in range(min(shallow, chars.shape[1])):
+        values = chars[rows, depth].astype(np.uint64)
+        order = np.argsort(values, kind="quicksort")
+        order = order[np.argsort(group[order], kind="stable")]
+        rows, values, before = rows[order], values[order], group[order]
+        fresh = np.append(True, (values[1:] != values[:-1]) | (before[1:] != before[:-1]))
+        group = np.cumsum(fresh) - 1
+        many = np.bincount(group)[group] > 1
+        rows, group = rows[many], group[many]
+        if not len(rows):
+            return
+    whole = np.ascontiguousarray(strings).tobytes()
+    edges = np.flatnonzero(np.append(True, group[1:] != group[:-1])).tolist()
+    listed = rows.tolist()
+    for low, high in zip(edges, [*edges[1:], len(listed)], strict=True):
+        own = listed[low:high]
+        texts = [whole[r * width : (r + 1) * width] for r in own]
+        if texts.count(texts[0]) == len(texts):
+            yield own
             continue
-        values = chars[rows, depth]
-        pivot = values[len(values) // 2]
-        less, equal = values < pivot, values == pivot
-        for part, deeper in ((rows[~(less | equal)], depth), (rows[equal], depth + 1), (rows[less], depth)):
-            if len(part):
-                stack.append((part, deeper))
+        trie = BlindTrie(texts[0], own[0])
+        for text, r in zip(texts[1:], own[1:], strict=True):
+            trie.insert(text, r)
+        yield from (g for g in trie.groups() if len(g) > 1)
 
 
 def _sort_cores(rows: DataFrame) -> DataFrame:
     """Repeated strings (doc, start) among (core, doc, start, around): every string within ``around``."""
 
     def repeats(rows: list[tuple]) -> list[tuple]:
-        docs, starts, strings = [], [], []
-        for doc, start, around in rows:
-            windows = np.lib.stride_tricks.sliding_window_view(np.frombuffer(around, np.uint8), LENGTH)
-            strings.append(windows)
-            docs.append(np.full(len(windows), doc))
-            starts.append(start + np.arange(len(windows)))
-        docs, starts = np.concatenate(docs), np.concatenate(starts)
-        place = np.argsort(np.lexsort((starts, docs)))
+        flat = np.frombuffer(b"".join(r[2] for r in rows), np.uint8)
+        sizes = np.array([len(r[2]) for r in rows])
+        counts = sizes - LENGTH + 1
+        row = np.repeat(np.arange(len(rows)), counts)
+        k = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+        at = np.repeat(np.cumsum(sizes) - sizes, counts) + k
+        docs = np.array([r[0] for r in rows])[row]
+        starts = np.array([r[1] for r in rows])[row] + k
+        # Each string once, in the order of the corpus; one whose hash is single has no equal.
+        order = np.lexsort((starts, docs))
+        docs, starts, at = docs[order], starts[order], at[order]
+        fresh = np.append(True, (docs[1:] != docs[:-1]) | (starts[1:] != starts[:-1]))
+        docs, starts, at = docs[fresh], starts[fresh], at[fresh]
+        _, name, often = np.unique(RangeHashes(flat).of(at, at + LENGTH), return_inverse=True, return_counts=True)
+        some = np.flatnonzero(often[name] > 1)
+        if not len(some):
+            return []
+        strings = np.lib.stride_tricks.sliding_window_view(flat, LENGTH)[at[some]]
         out: list[int] = []
-        for group in deep_shallow(np.concatenate(strings)):
-            if len(group) > 1:
-                group.sort(key=place.__getitem__)
-                first = (docs[group[0]], starts[group[0]])
-                out += [r for r in group[1:] if (docs[r], starts[r]) != first]
+        for group in deep_shallow(strings):
+            group.sort()
+            out += group[1:]
+        out = some[out]
         return list(zip(docs[out].tolist(), starts[out].tolist(), strict=True))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -320,12 +334,16 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """(doc, starts, stops): the spans of (doc, text) that repeat, several rows for a document."""
     spark = docs.sparkSession
     found, found_path = scratch(_find_anchors(docs), "anchors")
+    # Most grams occur once: the rest alone is classified.
+    often = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
+    live, live_path = scratch(found.join(often, "gram"), "live-anchors")
+    remove_path(spark, found_path)
     place = F.struct("doc", "pos")
     classes, classes_path = scratch(
-        found.groupBy("gram", "context").agg(F.min(place).alias("first"), F.max(place).alias("last")), "classes"
+        live.groupBy("gram", "context").agg(F.min(place).alias("first"), F.max(place).alias("last")), "classes"
     )
     again = classes.where(F.col("first") != F.col("last"))
-    later = found.join(again, ["gram", "context"]).where(place > F.col("first")).select("doc", "pos", F.lit(True).alias("later"))
+    later = live.join(again, ["gram", "context"]).where(place > F.col("first")).select("doc", "pos", F.lit(True).alias("later"))
     kinds = classes.groupBy("gram").agg(F.min("context").alias("a"), F.max("context").alias("b")).where("a != b")
     shared = classes.join(kinds.select("gram"), "gram").select("first.doc", "first.pos", F.lit(False).alias("later"))
     listed = later.union(shared).groupBy("doc").agg(
@@ -333,7 +351,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         F.collect_list(F.when(~F.col("later"), F.col("pos"))).alias("shared"),
     )
     around, _ = scratch(_around(docs.join(listed, "doc")), "surroundings")
-    for path in (found_path, classes_path):
+    for path in (live_path, classes_path):
         remove_path(spark, path)
     sure = around.where(F.col("starts").isNotNull()).select("doc", "starts", "stops")
 
