@@ -14,6 +14,9 @@ from curbline.session import scratch_path
 #: Parquet tables that a later stage rereads; zstd halves them against snappy.
 SCRATCH_OPTIONS = {"compression": "zstd"}
 
+#: Spark's own removal of a finished write's shuffle files.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 #: Texts are worked on in pieces of about this many bytes, whatever the batch size.
 SLICE_BYTES = 4 << 20
 
@@ -29,7 +32,13 @@ def scratch(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.options(**SCRATCH_OPTIONS).parquet(path)
+    # Once the table is written its shuffles are of no more use.
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.options(**SCRATCH_OPTIONS).parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path), path
 
 

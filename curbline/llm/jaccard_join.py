@@ -5,11 +5,12 @@ Distance is one minus Jaccard similarity, a metric; two documents link within ``
 1. *Sets.* Documents with equal shingle sets are one node, known by a digest of the set.
    Counts of all shingles, in a table of fixed size, give an order in which frequent shingles
    come last; only that order depends on it, never a result.
-2. *Pivots and regions.* Two sets within the radius share one of their first shingles in
-   this order (as many as can be missing from a partner, and one). Of the sets that have
-   such a shingle, the one with the least digest is its pivot. A pivot's region holds every set that
-   shares one of its shingles, so both sets of any link lie in a common region; a set near the
-   border of several regions is in each of them.
+2. *Pivots and regions.* Each set shows its first shingles in this order: as many as a partner can
+   lack, and a tenth of its size more. Two sets within the radius then share that tenth among what
+   they show. Of the sets that show a shingle, the one with the least digest is its pivot, and the
+   pivot's region holds them all: both sets of any link lie in a common region, and a set at the
+   border of several regions is in each of them. Sets that share too few shingles to have a
+   partner, in all or in a region, leave.
 3. *Recursive join.* In a region all distances to the pivot are computed. Sets within the radius
    are linked to it, and so need no comparison with each other. By the triangle inequality a set
    can only link to sets whose distance to the pivot differs by the radius at most: sets outside
@@ -48,7 +49,7 @@ PERCENT = 75
 #: Slots of the table of shingle counts; half a MB, whatever the corpus.
 COUNT_SLOTS = 1 << 16
 #: Sets that one task joins at once; larger regions are dealt in blocks.
-REGION_SETS = 256
+REGION_SETS = 1024
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> tuple[bool, float]:
@@ -58,66 +59,83 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> tuple[bool,
     return 100 * both >= percent * union, 1 - both / union
 
 
-def prefix_size(n: np.ndarray | int, percent: int = PERCENT):
-    """How many of its first shingles a set of ``n`` must show to share one with each partner."""
-    return n - -(-n * percent // 100) + 1
+def shared_size(n: int) -> int:
+    """How many first shingles, at least, sets of ``n`` and more show in common when they link."""
+    return 1 + n // 10
 
 
-class Joined:
-    """The links found in one region: a forest, by union and find."""
+def prefix_size(n: int, percent: int = PERCENT) -> int:
+    """How many shingles a set of ``n`` shows: as many as a partner can lack, and the shared ones."""
+    return n - -(-n * percent // 100) + shared_size(n)
 
-    def __init__(self, n: int) -> None:
-        self.parent = list(range(n))
+
+class Region:
+    """The sets of one region, and the forest of links found among them."""
+
+    def __init__(self, sets: list[np.ndarray], percent: int) -> None:
+        self.sizes = np.array([len(s) for s in sets])
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        names, self.flat = np.unique(np.concatenate(sets), return_inverse=True)
+        self._marked = np.zeros(len(names), bool)
+        self.percent = percent
+        self.parent = np.arange(len(sets))
         self.links: list[tuple[int, int]] = []
 
-    def find(self, i: int) -> int:
-        while self.parent[i] != i:
-            self.parent[i] = i = self.parent[self.parent[i]]
-        return i
+    def distances(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which sets link to set ``i``, and all distances to it."""
+        own = self.flat[self.starts[i] : self.starts[i] + self.sizes[i]]
+        self._marked[own] = True
+        both = np.add.reduceat(self._marked[self.flat], self.starts, dtype=np.int64)
+        self._marked[own] = False
+        union = self.sizes + self.sizes[i] - both
+        return 100 * both >= self.percent * union, 1 - both / union
 
-    def add(self, i: int, j: int) -> None:
-        a, b = self.find(i), self.find(j)
-        if a != b:
-            self.parent[max(a, b)] = min(a, b)
-            self.links.append((i, j))
+    def add(self, i: int, others: np.ndarray) -> None:
+        """Tie ``i`` to those others that are not in its component yet."""
+        for j in others.tolist():
+            if self.parent[i] != self.parent[j]:
+                low, high = sorted((self.parent[i], self.parent[j]))
+                self.parent[self.parent == high] = low
+                self.links.append((i, j))
 
 
 def join_region(sets: list[np.ndarray], outside: list[bool] | None = None, percent: int = PERCENT) -> list[tuple[int, int]]:
-    """A forest with the components of all links that have at least one end ``outside`` (default: both)."""
+    """A forest with the components of all links that have at least one end ``outside`` (default: both).
+
+    No set is empty.
+    """
     n, reach = len(sets), 1 - percent / 100 + 1e-9
-    found, rows, pivots = Joined(n), [], []
+    region, rows, pivots = Region(sets, percent), [], []
     out = np.ones(n, bool) if outside is None else np.array(outside, bool)
-    members, rest = list(range(n)), list(np.flatnonzero(out))
+    window, rest = np.ones(n, bool), out.copy()
     # Pivots, until each outside set is one or is linked to one.
-    while rest:
-        pivot = rest[0]
-        row, inner = np.full(n, np.nan), {pivot}
-        members.remove(pivot)
-        for i in members:
-            near, row[i] = linked(sets[pivot], sets[i], percent)
-            if near:
-                found.add(pivot, i)
-                inner.add(i)
-        rows.append(row)
+    while rest.any():
+        pivot = int(np.argmax(rest))
+        near, far = region.distances(pivot)
+        window[pivot] = rest[pivot] = False
+        rows.append(np.where(window, far, np.nan))
+        rows[-1][pivot] = 0
         pivots.append(pivot)
-        rest = [i for i in rest if i not in inner]
-        if rest:
-            low, high = row[rest].min() - reach, row[rest].max() + reach
-            members = [i for i in members if low <= row[i] <= high]
+        region.add(pivot, np.flatnonzero(near & window))
+        rest &= ~near
+        if rest.any():
+            window &= rest | ((far >= far[rest].min() - reach) & (far <= far[rest].max() + reach))
+    if (region.parent == region.parent[0]).all():
+        return region.links
     # Sets of different components that no pivot tells apart.
-    if len({found.find(i) for i in range(n)}) == 1:
-        return found.links
-    known = np.array(rows).reshape(len(rows), n)
-    for k, pivot in enumerate(pivots):
-        known[k, pivot] = 0
+    known = np.array(rows)
     for i in range(n - 1):
-        others = np.arange(i + 1, n)
-        apart = np.abs(known[:, others] - known[:, i : i + 1]) > reach
-        left = others[~apart.any(axis=0) & (out[others] | out[i])]
-        for j in left.tolist():
-            if found.find(i) != found.find(j) and linked(sets[i], sets[j], percent)[0]:
-                found.add(i, j)
-    return found.links
+        left = (region.parent != region.parent[i]) & (out | out[i])
+        left[: i + 1] = False
+        at = np.flatnonzero(left)
+        for k in range(0, len(known), 16):
+            if not len(at):
+                break
+            at = at[~(np.abs(known[k : k + 16, at] - known[k : k + 16, i : i + 1]) > reach).any(axis=0)]
+        if len(at):
+            near, _ = region.distances(i)
+            region.add(i, at[near[at]])
+    return region.links
 
 
 def _nodes(df: DataFrame) -> DataFrame:
@@ -192,7 +210,7 @@ def _first_shingles(df: DataFrame, order: np.ndarray, percent: int) -> DataFrame
                     if not len(s):
                         continue
                     key = classes[(s & np.uint64(COUNT_SLOTS - 1)).astype(np.int64)] | (s >> np.uint64(8))
-                    k = prefix_size(len(s), percent)
+                    k = min(len(s), prefix_size(len(s), percent))
                     keys.append(np.partition(key, k - 1)[:k])
                     nodes.append(np.frombuffer(xxhash.xxh3_128_digest(s.tobytes())[:8], np.int64))
                     counts.append(k)
@@ -273,27 +291,34 @@ def jaccard_links(df: DataFrame, nodes: DataFrame, heads: DataFrame, percent: in
         .agg(F.min("node").alias("pivot"), F.max("node").alias("last"))
         .where(F.col("pivot") != F.col("last"))
     )
-    found = keys.join(pivots.select("key", "pivot"), "key").select("pivot", "node").distinct()
+    found = keys.join(pivots.select("key", "pivot"), "key").groupBy("pivot", "node").agg(F.count(F.lit(1)).alias("keys"))
     met, _ = scratch(found, "regions")
-    # From halves of digests to the least id of each set.
-    named = heads.select("node", "head")
+    # Two linked sets share so many first shingles, at least, that one of their common
+    # regions holds the mean number of them for each: a set leaves the regions below that.
+    named = heads.select("node", "head", "n_shingles")
+    own = met.groupBy("node").agg(F.sum("keys").alias("all_keys"), F.count(F.lit(1)).alias("regions"))
+    least = F.expr(f"1 + ((n_shingles * {percent} + 99) div 100) div 10")
+    able = own.join(named, "node").withColumn("least", least).where(F.col("all_keys") >= F.col("least"))
     members = (
-        met.join(named, "node")
-        .select("pivot", F.col("head").alias("doc_id"))
-        .join(named.withColumnsRenamed({"node": "pivot", "head": "region"}), "pivot")
-        .select("region", "doc_id")
+        met.join(able, "node")
+        .where(F.col("keys") * F.col("regions") >= F.col("least"))
+        .select(F.col("pivot").alias("region"), F.col("head").alias("doc_id"))
+        .distinct()
     )
     sizes = members.groupBy("region").agg(F.count(F.lit(1)).alias("size"))
-    members, _ = scratch(members.join(sizes, "region"), "members")
-    wanted = members.select("doc_id").union(members.select("region")).distinct()
-    texts, _ = scratch(df.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+    alone = F.col("size") > 1
+    members, _ = scratch(members.join(sizes.where(alone), "region"), "members")
+    wanted = members.select("doc_id").distinct()
+    texts, _ = scratch(df.join(wanted.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
 
     small = members.where(F.col("size") <= region_sets)
     links = _join_regions(
         small.join(texts, "doc_id").select("region", "doc_id", F.lit(True).alias("outside"), "text"), percent
     )
     hot = members.where(F.col("size") > region_sets)
-    pairs = hot.select(F.col("region").alias("a"), F.col("doc_id").alias("b")).where("a != b")
+    # The pivot itself may have left: any member serves as one.
+    centres = hot.groupBy("region").agg(F.min("doc_id").alias("a"))
+    pairs = hot.join(centres, "region").select("a", F.col("doc_id").alias("b")).where("a != b").distinct()
     for side in "ab":
         pairs = pairs.join(texts.withColumnsRenamed({"doc_id": side, "text": f"text_{side}"}), side)
     spread, _ = scratch(_distances(pairs, percent), "distances")
@@ -336,7 +361,7 @@ def jaccard_classes(
     nodes, _ = scratch(_nodes(docs), "nodes")
     rows = nodes.where(F.col("part").isNull()).select("doc_id", "n_shingles", "node", "digest")
     real = rows.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    heads, _ = scratch(real.groupBy("digest", "node").agg(F.min("doc_id").alias("head")), "heads")
+    heads, _ = scratch(real.groupBy("digest", "node").agg(F.min("doc_id").alias("head"), F.first("n_shingles").alias("n_shingles")), "heads")
     known = docs.where(F.col("doc_id").isNotNull())
     links, _ = scratch(jaccard_links(known, nodes, heads, percent, region_sets), "jaccard-links")
     classes = connected_components(links)
