@@ -291,7 +291,9 @@ def jaccard_links(df: DataFrame, nodes: DataFrame, heads: DataFrame, percent: in
         .agg(F.min("node").alias("pivot"), F.max("node").alias("last"))
         .where(F.col("pivot") != F.col("last"))
     )
-    found = keys.join(pivots.select("key", "pivot"), "key").groupBy("pivot", "node").agg(F.count(F.lit(1)).alias("keys"))
+    # Written before they are joined back, so that only one of both shuffles takes room at a time.
+    pivots, _ = scratch(pivots.select("key", "pivot"), "pivots")
+    found = keys.join(pivots, "key").groupBy("pivot", "node").agg(F.count(F.lit(1)).alias("keys"))
     met, _ = scratch(found, "regions")
     # Two linked sets share so many first shingles, at least, that one of their common
     # regions holds the mean number of them for each: a set leaves the regions below that.

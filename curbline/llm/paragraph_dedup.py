@@ -185,8 +185,10 @@ def repeated_passages(
     docs = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("doc"), F.col(text_col).alias("text"))
     places, _ = scratch(_places(docs), "paragraphs")
     keys = places.select("node", F.explode("keys").alias("key"))
+    # Written before they are joined back, so that only one of both shuffles takes room at a time.
     pivots = keys.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot != last")
-    collided = keys.join(pivots.select("key", "pivot"), "key").where("node != pivot")
+    pivots, _ = scratch(pivots.select("key", "pivot"), "pivots")
+    collided = keys.join(pivots, "key").where("node != pivot")
     pairs, _ = scratch(collided.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(), "collisions")
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     slim = places.select("node", "doc", "first", "words")

@@ -336,6 +336,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     found, found_path = scratch(_find_anchors(docs), "anchors")
     # Most grams occur once: the rest alone is classified.
     often = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
+    often, _ = scratch(often, "frequent-grams")
     live, live_path = scratch(found.join(often, "gram"), "live-anchors")
     remove_path(spark, found_path)
     place = F.struct("doc", "pos")
