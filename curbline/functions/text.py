@@ -26,9 +26,13 @@ def blank_to(value: Column, default: object) -> Column:
     return F.coalesce(F.nullif(F.trim(value), F.lit("")), F.lit(default))
 
 
-def lenient_int(value: Column, default: int = 0) -> Column:
-    """Whole part of a number in any spelling; the default where there is none."""
-    return F.coalesce(value.try_cast("double").try_cast("int"), F.lit(default))
+def lenient_int(value: Column, default: int = 0, kind: str = "bigint") -> Column:
+    """Whole part of a number in any spelling; the default where there is none.
+
+    Plain whole numbers are taken as they are, all digits of them; other spellings go through double.
+    """
+    whole = value.try_cast("bigint")
+    return F.coalesce(F.coalesce(whole, value.try_cast("double").try_cast("bigint")).try_cast(kind), F.lit(default).cast(kind))
 
 
 def known_code(value: Column, allowed: Sequence[int]) -> Column:

@@ -100,9 +100,9 @@ def fill_defaults(df: DataFrame, mapping: Mapping[str, object]) -> DataFrame:
     )
 
 
-def coerce_int(df: DataFrame, cols: Sequence[str], default: int = 0) -> DataFrame:
+def coerce_int(df: DataFrame, cols: Sequence[str], default: int = 0, kind: str = "bigint") -> DataFrame:
     """Columns as whole numbers, the default where no number can be read."""
-    return df.withColumns({c: text.lenient_int(F.col(c), default) for c in cols})
+    return df.withColumns({c: text.lenient_int(F.col(c), default, kind) for c in cols})
 
 
 def invalidate_codes(df: DataFrame, col: str, allowed: Sequence[int]) -> DataFrame:

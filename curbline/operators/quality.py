@@ -143,6 +143,10 @@ def column_profile(df: DataFrame) -> DataFrame:
 
 def gate(report: DataFrame, what: str) -> None:
     """Raise when a report counts violations; reports have one row per check."""
-    broken = [row.asDict() for row in report.where("violations > 0").limit(100).collect()]
-    if broken:
-        raise QualityError(f"{what}: {broken}")
+    broken = report.where("violations > 0")
+    found = broken.agg(F.count(F.lit(1)).alias("rows"), F.sum("violations").alias("violations")).first()
+    if found["rows"]:
+        some = [row.asDict() for row in broken.limit(20).collect()]
+        raise QualityError(
+            f"{what}: {found['rows']} checks failed, {found['violations']} violations; for example {some}"
+        )

@@ -30,7 +30,7 @@ def union_nonempty(
     if not frames:
         raise ValueError("no frames to union")
     together = union_services([shape.align_schema(f, schema) for f in frames])
-    return clean.coerce_int(together, [c for c in int_cols if c in together.columns])
+    return clean.coerce_int(together, [c for c in int_cols if c in together.columns], kind="int")
 
 
 def select_sources(frames: Mapping[str, DataFrame], enabled: Sequence[str]) -> dict[str, DataFrame]:

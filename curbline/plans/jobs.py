@@ -54,8 +54,13 @@ def keyed_schema(service: str) -> T.StructType:
 def _existing_months(
     spark: SparkSession, path: str, schema: T.StructType, first: str, last: str
 ) -> DataFrame:
+    """Stored rows in a schema that is pinned: a column that only later months have is read from those."""
+    months = {"year": T.IntegerType(), "month": T.IntegerType()}
+    pinned = T.StructType(
+        [f for f in schema.fields if f.name not in months] + [T.StructField(n, k) for n, k in months.items()]
+    )
     try:
-        return shape.align_schema(files.read_months(spark, path, first, last), schema)
+        return shape.align_schema(files.read_months(spark, path, first, last, pinned), schema)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return shape.empty_frame(spark, schema)
@@ -153,7 +158,7 @@ def load_stage(
         last,
         overwrite,
         check=lambda image: quality.gate(
-            quality.check_unique(image, ["dwid"]), f"{service} stage keys"
+            quality.check_unique(image, fixed.PRIMARY_KEY), f"{service} stage keys"
         ),
     )
 
@@ -184,7 +189,7 @@ def publish_production(
     quality.require_loss_below_limit(merge.reconcile_loss(truth, other, level))
     rows = (
         merge.reconcile(truth, other)
-        .transform(keys.dedup_by_key, ["dwid"])
+        .transform(keys.dedup_by_key, fixed.PRIMARY_KEY)
         .transform(clean.drop_any_null, may_be_null)
     )
     return publish(rows, lake.zone("production", service), first, last, overwrite)

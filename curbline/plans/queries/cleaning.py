@@ -104,10 +104,10 @@ def fill_defaults(spark, sf):
 
 @query(
     """SELECT event_id,
-        coalesce(CAST(trunc(TRY_CAST(CAST(value AS VARCHAR) AS DOUBLE)) AS INTEGER), 0) AS value_text,
-        coalesce(CAST(trunc(TRY_CAST(event_type AS DOUBLE)) AS INTEGER), 0) AS event_type,
+        coalesce(CAST(trunc(TRY_CAST(CAST(value AS VARCHAR) AS DOUBLE)) AS BIGINT), 0) AS value_text,
+        coalesce(CAST(trunc(TRY_CAST(event_type AS DOUBLE)) AS BIGINT), 0) AS event_type,
         coalesce(CAST(trunc(TRY_CAST(CASE WHEN user_id % 3 = 0 THEN '' ELSE user_id || '.0' END AS DOUBLE))
-            AS INTEGER), 0) AS user_text
+            AS BIGINT), 0) AS user_text
     FROM events"""
 )
 def coerce_int(spark, sf):

@@ -69,9 +69,9 @@ def test_null_rules(frame):
 
 
 def test_lenient_numbers(frame):
-    df = frame("id int, v string", (1, "1.0"), (2, "7"), (3, ""), (4, "x"), (5, None), (6, "2.9"), (7, "-2.9"), (8, "1e12"))
+    df = frame("id int, v string", (1, "1.0"), (2, "7"), (3, ""), (4, "x"), (5, None), (6, "2.9"), (7, "-2.9"), (8, "1e12"), (9, "3000000000"), (10, "9007199254740993"))
     found = {r.id: r.v for r in clean.coerce_int(df, ["v"]).collect()}
-    assert found == {1: 1, 2: 7, 3: 0, 4: 0, 5: 0, 6: 2, 7: -2, 8: 0}
+    assert found == {1: 1, 2: 7, 3: 0, 4: 0, 5: 0, 6: 2, 7: -2, 8: 10**12, 9: 3 * 10**9, 10: 9007199254740993}
 
 
 def test_codes_and_blanks(frame):

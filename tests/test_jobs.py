@@ -4,6 +4,7 @@ from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from curbline import schemas
 from curbline.operators import quality
@@ -121,3 +122,15 @@ def test_unknown_summary(spark, frame):
 def test_write_table_is_read_back(spark, frame, rows):
     df = frame("a int, b string", (1, "x"), (None, None))
     assert rows(tables.write_table(df, scratch_path(spark, "t"))) == rows(df)
+
+
+@pytest.mark.parametrize("newer_first", [True, False])
+def test_an_upsert_keeps_columns_that_only_some_months_have(spark, lake, newer_first):
+    path = lake.zone("stage", "any")
+    months = [("k int, ts timestamp_ntz, extra string", (1, datetime(2024, 2, 1), "keep")), ("k int, ts timestamp_ntz", (2, datetime(2024, 1, 1)))]
+    for schema, row in months if newer_first else months[::-1]:
+        part = spark.createDataFrame([row], schema)
+        part.withColumns({"year": F.year("ts"), "month": F.month("ts")}).write.partitionBy("year", "month").mode("append").parquet(path)
+    wanted = T.StructType.fromDDL("k int, ts timestamp_ntz, extra string")
+    found = jobs._existing_months(spark, path, wanted, "2024_01", "2024_02")
+    assert {(r.k, r.extra) for r in found.collect()} == {(1, "keep"), (2, None)}
