@@ -374,3 +374,10 @@ def test_pipeline(spark):
     left = {r["doc_id"]: r["text"] for r in docs.collect()}
     assert all(d == c for d, (_, c) in brute_classes(left).items())
     assert rows.agg(F.max("length")).first()[0] <= 4096
+
+
+def test_only_a_bounded_sample_is_sent_whole_in_a_join():
+    import pathlib
+
+    hints = [p.name for p in pathlib.Path(queries.__file__).parent.glob("*.py") for _ in re.findall(r"F\.broadcast\(", p.read_text())]
+    assert hints == ["quality_crf.py"]  # of ids that SAMPLE_DOCS bounds
