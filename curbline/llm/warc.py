@@ -169,8 +169,11 @@ _PARSED = (
 )
 
 
-def parse_arcs(spark: SparkSession, path: str) -> DataFrame:
-    """The records of all archives under ``path``, with what WARC needs."""
+def parse_arcs(spark: SparkSession, path: str, bodies: bool = True) -> DataFrame:
+    """The records of all archives under ``path``, with what WARC needs.
+
+    Without ``bodies``, ``digest``, ``head`` and ``payload`` are NULL.
+    """
     names = [c.split()[0] for c in _PARSED.split(", ")]
     schema = pa.schema(
         [pa.field(n, {"long": pa.int64(), "string": pa.string()}.get(k, pa.binary())) for n, k in (c.split() for c in _PARSED.split(", "))]
@@ -188,9 +191,9 @@ def parse_arcs(spark: SparkSession, path: str) -> DataFrame:
                 iso_date(record.fields["Archive-date"]),
                 int(page) if page else None,
                 hashlib.sha256(payload).digest(),
-                sha1_base32(payload),
-                head,
-                payload,
+                sha1_base32(payload) if bodies else None,
+                head if bodies else None,
+                payload if bodies else None,
             )
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,7 +203,7 @@ def parse_arcs(spark: SparkSession, path: str) -> DataFrame:
                 # Only the archive's own name: identifiers don't depend on the folder.
                 for row in rows(name.as_py().rsplit("/", 1)[-1], content.as_py()):
                     out.append(row)
-                    size += len(row[-1])
+                    size += len(row[-1] or b"") + 256
                     if size > 8 << 20:
                         yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in out], schema)
                         out, size = [], 0
@@ -213,9 +216,12 @@ def parse_arcs(spark: SparkSession, path: str) -> DataFrame:
 # ---------------------------------------------------------------- WARC
 
 
-def decide_types(parsed: DataFrame) -> DataFrame:
-    """``parsed`` with ``first``: the response of its payload, or NULL for that one itself."""
-    light = parsed.select("sha256", "page_id", "record_id", "uri", "date")
+def decide_types(parsed: DataFrame, light: DataFrame) -> DataFrame:
+    """``parsed`` with ``first``: the response of its payload, or NULL for that one itself.
+
+    ``light`` are the same records without bodies.
+    """
+    light = light.select("sha256", "page_id", "record_id", "uri", "date")
     best = F.max(F.struct("page_id", "record_id", "uri", "date")).alias("first")
     chosen = light.groupBy("sha256").agg(best)
     own = F.col("first.record_id") == F.col("record_id")
@@ -311,7 +317,8 @@ def read_warcs(spark: SparkSession, path: str) -> DataFrame:
 
 def convert(spark: SparkSession, arc_path: str, warc_path: str) -> None:
     """All ARC archives under ``arc_path`` as WARC archives under ``warc_path``."""
-    write_warc(decide_types(parse_arcs(spark, arc_path)), warc_path)
+    decided = decide_types(parse_arcs(spark, arc_path), parse_arcs(spark, arc_path, bodies=False))
+    write_warc(decided, warc_path)
 
 
 def with_referred_page(records: DataFrame) -> DataFrame:
