@@ -128,6 +128,17 @@ def sample_to(df: DataFrame, n: int, seed: int | None = None) -> DataFrame:
     return df if rows <= n else df.sample(withReplacement=False, fraction=n / rows, seed=seed)
 
 
+def sample_each(df: DataFrame, n: int, group: Column, seed: int | None = None) -> DataFrame:
+    """About ``n`` rows of each group, without replacement; everything when ``n`` is not positive.
+
+    The groups are few, such as months: their sizes are collected.
+    """
+    if n <= 0:
+        return df
+    sizes = df.groupBy(group.alias("group")).count().collect()
+    return df.sampleBy(group, {r["group"]: min(1.0, n / r["count"]) for r in sizes}, seed)
+
+
 def since_high_watermark(df: DataFrame, target: DataFrame, ts_col: str) -> DataFrame:
     """Rows newer than the newest row of the target; all rows with a time if it has none.
 

@@ -122,26 +122,49 @@ def reconcile_loss(
     return loss_report(all_rows, ts_col, level)
 
 
+def reconcile_loss_by_month(
+    truth: DataFrame,
+    other: DataFrame,
+    level: str,
+    keys: Sequence[str] = ("dwid",),
+    ts_col: str = "pickup_datetime",
+) -> DataFrame:
+    """``reconcile_loss`` for each month, so that one bad month isn't hidden by good ones.
+
+    A lost row counts in the month of its time on the other side; a truth row without a
+    time in the month NULL.
+    """
+    month = F.date_format("__at", "yyyy_MM").alias("year_month")
+    known = truth.select(*keys, F.col(ts_col).alias("__at"))
+    missing = other.select(*keys, F.col(ts_col).alias("__at")).join(
+        known.select(*keys).distinct(), list(keys), "left_anti"
+    )
+    absent = F.lit(None).cast(truth.schema[ts_col].dataType).alias(ts_col)
+    all_rows = known.select(month, F.col("__at").alias(ts_col)).unionByName(missing.select(month, absent))
+    return loss_report(all_rows, ts_col, level, by=["year_month"])
+
+
 def loss_percent(total: Column, lost: Column) -> Column:
     return F.when(total == 0, F.lit(0.0)).otherwise(
         lost.cast("double") / F.nullif(total, F.lit(0)).cast("double") * 100
     )
 
 
-def loss_report(df: DataFrame, ts_col: str, level: str) -> DataFrame:
-    """One row: rows, rows without a time, their percentage, and whether it is too high.
+def loss_report(df: DataFrame, ts_col: str, level: str, by: Sequence[str] = ()) -> DataFrame:
+    """One row (or one per group of ``by``): rows, rows without a time, their percentage, and whether it is too high.
 
     The limit itself is already too high; an empty input never is.
     """
     if level not in fixed.LOSS_LIMITS:
         raise ValueError(f"unknown level {level!r}; choose from {sorted(fixed.LOSS_LIMITS)}")
     limit = fixed.LOSS_LIMITS[level]
-    counts = df.agg(
+    counts = df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("total_rows"),
         F.count_if(F.col(ts_col).isNull()).alias("lost_rows"),
     )
     percent = loss_percent(F.col("total_rows"), F.col("lost_rows"))
     return counts.select(
+        *by,
         "total_rows",
         "lost_rows",
         percent.alias("loss_percent"),

@@ -129,10 +129,12 @@ def check_loss(df: DataFrame, ts_col: str, level: str) -> DataFrame:
 
 
 def require_loss_below_limit(report: DataFrame) -> None:
-    row = report.first()
-    if row.breached:
+    """Raise when any row of a loss report is breached; the worst one is named."""
+    row = report.where("breached").orderBy(F.desc("loss_percent"), *report.columns).first()
+    if row is not None:
+        where = f"{row.year_month}: " if "year_month" in report.columns else ""
         raise QualityError(
-            f"{row.loss_percent:.2f} % of {row.total_rows} rows lost, limit {row.limit_percent} %"
+            f"{where}{row.loss_percent:.2f} % of {row.total_rows} rows lost, limit {row.limit_percent} %"
         )
 
 

@@ -29,7 +29,7 @@ from curbline.operators import (
     summaries,
 )
 from curbline.plans import lookups
-from curbline.session import scratch_path
+from curbline.session import remove_path, scratch_path
 from curbline.sinks import tables
 from curbline.sources import files
 
@@ -85,25 +85,26 @@ def publish(
 ) -> DataFrame:
     """Replace or upsert the months of a table; returns those months as stored.
 
-    A stored month for which a replacement brings no rows is refused: writing
-    partitions cannot remove one, and keeping its old rows would be wrong.
+    A replacement replaces the whole range: a stored month for which it brings no rows is removed.
     """
     spark = rows.sparkSession
     if not overwrite:
         existing = _existing_months(spark, path, rows.schema, first, last)
         rows = merge.merge_by_key(existing, rows, key)
-    image = tables.month_image(rows, scratch_path(spark, "image"))
+    beside = scratch_path(spark, "image")
+    image = tables.month_image(rows, beside)
     if check is not None:
         check(image)
+    stale = []
     if overwrite:
-        stale = _stored_months(spark, path, first, last).join(
+        stored = _stored_months(spark, path, first, last).join(
             image.select("year", "month").distinct(), ["year", "month"], "left_anti"
         )
-        left = [f"{r.year:04d}_{r.month:02d}" for r in stale.orderBy("year", "month").collect()]
-        if left:
-            raise quality.QualityError(f"no new rows for months {left} of {path}; drop them first")
+        stale = [{"year": r.year, "month": r.month} for r in stored.collect()]
     tables.copy_months(image, path)
-    return files.read_months(spark, path, first, last)
+    tables.drop_partitions(spark, path, stale)
+    remove_path(spark, beside)
+    return files.read_months(spark, path, first, last, image.schema)
 
 
 def ingest_dev(
@@ -125,7 +126,7 @@ def ingest_dev(
     conformed = (
         files.read_trip_files(spark, paths)
         .transform(clean.in_months, pickup, first, last)
-        .transform(clean.sample_to, sample, seed)
+        .transform(clean.sample_each, sample, F.date_format(pickup, "yyyy_MM"), seed)
         .transform(shape.cast_to_schema, profile.file_schema)
         .transform(shape.drop_columns, *profile.drops)
         .transform(shape.rename_columns, profile.renames)
@@ -135,10 +136,16 @@ def ingest_dev(
         raise quality.QualityError(f"{service} files: {problems}")
     cleaned = clean.clean_trips(conformed, service)
     dev = lake.zone("dev", service)
-    tables.overwrite_months(cleaned, dev)
-    stored = files.read_months(spark, dev, first, last)
-    quality.gate(quality.check_ranges(stored, clean.service_rules(service)), f"{service} dev")
-    return stored
+    return publish(
+        cleaned,
+        dev,
+        first,
+        last,
+        overwrite=True,
+        check=lambda image: quality.gate(
+            quality.check_ranges(image, clean.service_rules(service)), f"{service} dev"
+        ),
+    )
 
 
 def load_stage(
@@ -166,11 +173,20 @@ def load_stage(
 def publish_lakehouse(
     spark: SparkSession, service: str, first: str, last: str, lake: Lake
 ) -> DataFrame:
-    """Stage zone to day files."""
-    rows = files.read_months(spark, lake.zone("stage", service), first, last)
+    """Stage zone to day files; days of the range that have no trips any more are removed."""
+    rows = _existing_months(spark, lake.zone("stage", service), keyed_schema(service), first, last)
     days = lake.zone("days", service)
-    tables.write_day_files(rows.drop("year", "month"), days)
-    return files.read_days(spark, days, first, last)
+    day, stale = F.to_date("pickup_datetime").alias("partition_date"), []
+    stored = T.StructType([*rows.schema.fields, T.StructField("partition_date", T.DateType())])
+    try:
+        present = files.read_days(spark, days, first, last, schema=stored).select("partition_date").distinct()
+        stale = present.join(rows.select(day).distinct(), "partition_date", "left_anti").collect()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    tables.write_day_files(rows, days)
+    tables.drop_partitions(spark, days, [r.asDict() for r in stale])
+    return files.read_days(spark, days, first, last, schema=stored)
 
 
 def publish_production(
@@ -184,9 +200,11 @@ def publish_production(
     overwrite: bool = False,
 ) -> DataFrame:
     """Day files reconciled with the stage zone to the production zone."""
-    truth = files.read_days(spark, lake.zone("days", service), first, last).drop("partition_date")
-    other = files.read_months(spark, lake.zone("stage", service), first, last).drop("year", "month")
-    quality.require_loss_below_limit(merge.reconcile_loss(truth, other, level))
+    schema = keyed_schema(service)
+    stored = T.StructType([*schema.fields, T.StructField("partition_date", T.DateType())])
+    truth = files.read_days(spark, lake.zone("days", service), first, last, schema=stored).drop("partition_date")
+    other = _existing_months(spark, lake.zone("stage", service), schema, first, last)
+    quality.require_loss_below_limit(merge.reconcile_loss_by_month(truth, other, level, fixed.PRIMARY_KEY))
     rows = (
         merge.reconcile(truth, other)
         .transform(keys.dedup_by_key, fixed.PRIMARY_KEY)
@@ -356,8 +374,7 @@ def direct_load(
         .transform(keys.add_row_key)
     )
     tables.export_csv(rows, csv_path)
-    tables.overwrite_months(files.load_csv(spark, csv_path, rows.schema), table)
-    return files.read_months(spark, table, first, last)
+    return publish(files.load_csv(spark, csv_path, rows.schema), table, first, last, overwrite=True)
 
 
 def merge_from_object_store(

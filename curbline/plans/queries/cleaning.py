@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 from datetime import date, datetime
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curbline import fixed
@@ -148,10 +150,26 @@ def blank_to_default(spark, sf):
     )
 
 
-@query()
+@query(
+    oracle(
+        """SELECT 'source' AS fact, count(*) AS n FROM fhv UNION ALL SELECT 'everything', count(*) FROM fhv
+        UNION ALL SELECT 'strays', 0 UNION ALL SELECT 'in_band', 1""",
+        "fhv",
+    )
+)
 def sample_to(spark, sf):
-    """About 1,000 trips, drawn from all of them."""
-    return clean.sample_to(standins.trips(spark, sf, "fhv"), 1000, seed=7)
+    """What holds for about 1,000 trips drawn from all: none is foreign or drawn twice, the size is in its band."""
+    trips = standins.trips(spark, sf, "fhv")
+    drawn = clean.sample_to(trips, 1000, seed=7)
+    size = F.count(F.lit(1))
+    parts = {
+        "source": trips.agg(size.alias("n")),
+        "everything": clean.sample_to(trips, 0).agg(size.alias("n")),
+        "strays": drawn.exceptAll(trips).agg(size.alias("n")),
+        "in_band": drawn.agg(size.between(800, 1200).cast("long").alias("n")),
+    }
+    labelled = [part.select(F.lit(name).alias("fact"), "n") for name, part in parts.items()]
+    return functools.reduce(DataFrame.unionByName, labelled)
 
 
 @query(

@@ -114,6 +114,30 @@ def job_publish_production(spark, sf):
     )
 
 
+@query(
+    oracle(
+        f"SELECT {_KEY}, *, {_YM} FROM staged WHERE "
+        + " AND ".join(f"{c} IS NOT NULL" for c in FHV_COLUMNS if c != "affiliated_base_number"),
+        "fhv",
+        cleaned=f"SELECT * FROM ({cleaning.CLEAN_FHV}) WHERE day(pickup_datetime) % 2 = 0",
+        staged=first_rows("cleaned", fixed.TRIP_KEY, FHV_COLUMNS),
+    )
+)
+def job_republish_after_removal(spark, sf):
+    """All days are published, then a load without the odd days replaces them."""
+    lake, path = _lake(spark), scratch_path(spark, "landed_even")
+    trips = standins.raw(spark, sf, "fhv")
+    trips.where(F.day("pickup_datetime") % 2 == 0).write.parquet(path)
+    for landed in (_landed(spark, sf, "fhv"), path):
+        jobs.ingest_dev(spark, landed, "fhv", FIRST, LAST, lake)
+        jobs.load_stage(spark, "fhv", FIRST, LAST, lake, overwrite=True)
+        jobs.publish_lakehouse(spark, "fhv", FIRST, LAST, lake)
+        found = jobs.publish_production(
+            spark, "fhv", FIRST, LAST, lake, "very_strict", ["affiliated_base_number"], overwrite=True
+        )
+    return found
+
+
 def _clean_fact(source: str = "fact") -> str:
     base = """CASE WHEN cab_type = 'fhv' THEN coalesce(nullif(trim({0}), ''), 'UNKNOWN') ELSE {0} END AS {0}"""
     return f"""SELECT * REPLACE (

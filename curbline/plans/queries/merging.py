@@ -151,6 +151,23 @@ def reconcile_loss(spark, sf):
     return merge.reconcile_loss(*unique_sides(spark, sf), level="moderate")
 
 
+@query(
+    oracle(
+        """SELECT *, lost_rows > 0 AND loss_percent >= 10 AS breached FROM (
+            SELECT year_month, count(*) AS total_rows, sum(lost)::BIGINT AS lost_rows,
+                CAST(sum(lost) AS DOUBLE) / count(*) * 100 AS loss_percent, CAST(10 AS DOUBLE) AS limit_percent
+            FROM (SELECT strftime(pickup_datetime, '%Y_%m') AS year_month,
+                    CASE WHEN pickup_datetime IS NULL THEN 1 ELSE 0 END AS lost FROM truth
+                UNION ALL SELECT strftime(pickup_datetime, '%Y_%m'), 1 FROM other
+                WHERE dwid NOT IN (SELECT dwid FROM truth)) GROUP BY year_month)""",
+        "fact",
+        **UNIQUE_SIDES,
+    )
+)
+def reconcile_loss_by_month(spark, sf):
+    return merge.reconcile_loss_by_month(*unique_sides(spark, sf), level="moderate")
+
+
 @query(oracle(_LOSS.format(limit=5.0, rows="truth"), "fact", **UNIQUE_SIDES))
 def loss_report(spark, sf):
     return merge.loss_report(unique_sides(spark, sf)[0], "pickup_datetime", "strict")

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from curbline.functions import dates
 from curbline.operators import clean, shape
+from curbline.session import remove_path
 from curbline.sources import files
 
 MONTHS = ("year", "month")
@@ -67,6 +68,12 @@ def copy_months(image: DataFrame, base: str) -> None:
     )
 
 
+def drop_partitions(spark: SparkSession, base: str, parts: Sequence[Mapping[str, object]]) -> None:
+    """Remove partition directories, each given by the values of all partition columns."""
+    for part in parts:
+        remove_path(spark, "/".join([base.rstrip("/"), *[f"{name}={value}" for name, value in part.items()]]))
+
+
 def write_day_files(
     df: DataFrame, base: str, ts_col: str = "pickup_datetime", column: str = "partition_date"
 ) -> None:

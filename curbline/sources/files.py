@@ -75,13 +75,18 @@ def read_day_partitions(
 
 
 def read_days(
-    spark: SparkSession, base: str, first: str, last: str, column: str = "partition_date"
+    spark: SparkSession,
+    base: str,
+    first: str,
+    last: str,
+    column: str = "partition_date",
+    schema: T.StructType | None = None,
 ) -> DataFrame:
     """All day partitions that exist from one ``yyyy_MM`` month to another."""
     start = dates.month_start(*dates.parse_month(first)).date()
     end = dates.month_after(*dates.parse_month(last)).date()
     day = F.col(column).cast("date")
-    return spark.read.parquet(base).where((day >= F.lit(start)) & (day < F.lit(end)))
+    return read_trip_files(spark, base, schema).where((day >= F.lit(start)) & (day < F.lit(end)))
 
 
 def read_partition_glob(

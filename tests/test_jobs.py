@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from curbline import schemas
-from curbline.operators import quality
+from curbline.operators import clean, merge, quality
 from curbline.plans import jobs
 from curbline.session import scratch_path
 from curbline.sinks import tables
@@ -93,16 +93,48 @@ def test_failed_check_leaves_the_table(spark, frame):
     assert [r.k for r in spark.read.parquet(path).collect()] == [1]
 
 
-def test_replacement_without_rows_for_a_stored_month_is_refused(spark, frame):
+def test_one_bad_month_stops_a_long_range(spark, frame):
+    schema = "dwid string, pickup_datetime timestamp_ntz"
+    other = frame(schema, *[(f"{m}-{k}", datetime(2023 + m // 12, m % 12 + 1, 1)) for m in range(24) for k in range(20)])
+    truth = other.where("NOT (dwid LIKE '7-1%')")
+    report = merge.reconcile_loss_by_month(truth, other, "moderate", ["dwid", "pickup_datetime"])
+    assert {r.year_month: r.lost_rows for r in report.collect() if r.breached} == {"2023_08": 11}
+    with pytest.raises(quality.QualityError, match="2023_08: 55.00 %"):
+        quality.require_loss_below_limit(report)
+    quality.require_loss_below_limit(merge.reconcile_loss(truth, other, "moderate"))
+
+
+def test_trips_that_are_gone_from_the_files_leave_all_zones(spark, frame, lake):
+    months = {"first": "2024_01", "last": "2024_02"}
+    feb = ("B1", datetime(2024, 2, 3, 8), datetime(2024, 2, 3, 9), 1, 2, None, "A1")
+    for landed in ([trip(1), trip(2), feb], [trip(1)]):
+        dev = jobs.ingest_dev(spark, land(spark, frame, *landed), "fhv", lake=lake, **months)
+        jobs.load_stage(spark, "fhv", lake=lake, overwrite=True, **months)
+        days = jobs.publish_lakehouse(spark, "fhv", lake=lake, **months)
+        production = jobs.publish_production(
+            spark, "fhv", lake=lake, level="very_strict", may_be_null=["sr_flag"], overwrite=True, **months
+        )
+        assert dev.count() == days.count() == production.count() == len(landed)
+
+
+def test_sampling_is_by_month(frame):
+    df = frame("k int, ts timestamp_ntz", *[(k, datetime(2024, 1 + k % 2, 1)) for k in range(400)])
+    drawn = clean.sample_each(df, 50, F.date_format("ts", "yyyy_MM"), 3)
+    assert all(25 < r["count"] < 80 for r in drawn.groupBy(F.month("ts")).count().collect())
+    assert clean.sample_each(df, 500, F.date_format("ts", "yyyy_MM")).count() == 400
+
+
+def test_replacement_without_rows_for_a_stored_month_empties_it(spark, frame):
     path = scratch_path(spark, "table")
     schema = "k int, pickup_datetime timestamp_ntz"
     both = frame(schema, (1, datetime(2024, 1, 1)), (2, datetime(2024, 2, 1)))
     jobs.publish(both, path, "2024_01", "2024_02", overwrite=True, key=["k"])
-    with pytest.raises(quality.QualityError, match="2024_02"):
-        jobs.publish(frame(schema, (3, datetime(2024, 1, 1))), path, "2024_01", "2024_02", True, ["k"])
     found = jobs.publish(frame(schema, (3, datetime(2024, 1, 1))), path, "2024_01", "2024_01", True, ["k"])
     assert [r.k for r in found.collect()] == [3]
     assert sorted(r.k for r in spark.read.parquet(path).collect()) == [2, 3]
+    found = jobs.publish(frame(schema, (3, datetime(2024, 1, 1))), path, "2024_01", "2024_02", True, ["k"])
+    assert [r.k for r in found.collect()] == [r.k for r in spark.read.parquet(path).collect()] == [3]
+    assert jobs.publish(frame(schema), path, "2024_01", "2024_02", True, ["k"]).count() == 0
 
 
 def test_backfill_runs_once_for_all_months():
