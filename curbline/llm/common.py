@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,7 +46,7 @@ def scratch(df: DataFrame, label: str) -> tuple[DataFrame, str]:
 def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
     """The batch in consecutive row ranges of about ``SLICE_BYTES`` of ``column``.
 
-    A longer text is a range of its own.
+    A longer text is a range of its own. Behind the last range, free memory is given back.
     """
     texts = batch.column(column)
     if batch.num_rows == 0:
@@ -58,6 +59,18 @@ def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
         stop = max(start + 1, int(np.searchsorted(ends, base + SLICE_BYTES, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
+    give_back_memory()
+
+
+def give_back_memory() -> None:
+    """Return to the system what Arrow and the C library hold free.
+
+    Workers outlive their stage: what they hold, the next stage's tasks on the executor lack.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
