@@ -167,3 +167,21 @@ def pack(
         "*", F.monotonically_increasing_id().alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     )
     return numbered if with_ids else numbered.drop("ids")
+
+
+def with_digest(packed: DataFrame) -> DataFrame:
+    """``packed`` with ``ids_crc32``, the digest of its ``ids`` as 32-bit little-endian numbers, in their place."""
+    rest = [c for c in packed.columns if c != "ids"]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(len(rest))
+            raw = memoryview(lists.flatten().to_numpy().astype("<u4").tobytes())
+            marks = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(), dtype=np.int64)]).tolist()
+            sums = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(marks[:-1], marks[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[: len(rest)], pa.array(sums, pa.int64())], names=[*rest, "ids_crc32"]
+            )
+
+    schema = ", ".join(f"`{c}` {kind}" for c, kind in packed.select(rest).dtypes)
+    return packed.select(*rest, "ids").mapInArrow(work, f"{schema}, ids_crc32 long")

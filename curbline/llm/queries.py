@@ -151,7 +151,8 @@ def op8_warc(spark, sf_dir):
 
 @query()
 def op9_packing(spark, sf_dir):
-    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
+    packed = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+    return packing.with_digest(packed.drop("ids_crc32")).select(packed.drop("ids").columns)
 
 
 @query()

@@ -304,6 +304,18 @@ def test_packing_round_trip(spark, edge, nothing):
     assert packing.pack(nothing, queries.tokenizer_path()).count() == 0
 
 
+def test_packed_digests_are_those_of_the_ids(spark, edge, monkeypatch):
+    packed = packing.pack(edge, queries.tokenizer_path())
+    rows = packing.with_digest(packed.withColumnRenamed("ids_crc32", "told")).collect()
+    assert len(rows) > len(EDGE) and all(r["ids_crc32"] == r["told"] for r in rows)
+    one_more = packed.drop("ids_crc32").withColumn("ids", F.concat("ids", F.array(F.lit(7))))
+    changed = {r["sequence_id"]: r["ids_crc32"] for r in packing.with_digest(one_more).collect()}
+    assert all(changed[r["sequence_id"]] != r["ids_crc32"] for r in rows)
+    read = []
+    monkeypatch.setattr(packing, "with_digest", lambda df, f=packing.with_digest: read.append(df.columns) or f(df))
+    assert queries.op9_packing(spark, SF_DIR).count() and "ids" in read[0]
+
+
 # ---------------------------------------------------------------- op10
 
 
@@ -376,6 +388,13 @@ def test_pipeline(spark):
     assert rows.agg(F.max("length")).first()[0] <= 4096
 
 
+def test_pipeline_keeps_the_ids_of_sequences(spark):
+    name, stage = corpus_pipeline.STAGES[-1]
+    rows = stage(spark, spark.read.parquet(f"{SF_DIR}/documents.parquet"), SF_DIR).collect()
+    assert name == "packing" and rows
+    assert all(len(r["ids"]) == r["length"] and zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r["ids_crc32"] for r in rows)
+
+
 def test_only_a_bounded_sample_is_sent_whole_in_a_join():
     import pathlib
 
