@@ -193,6 +193,25 @@ def test_leaks_against_brute_force(spark):
     assert left == {d for d, _ in docs} - {d for d, _ in found}
 
 
+@pytest.mark.parametrize("n_items,n_words", [(224, 640), (1, 20000)])
+def test_long_items_are_found(spark, n_items, n_words):
+    rng = np.random.default_rng(7)
+    words = lambda n: " ".join(f"w{w}" for w in rng.integers(0, 3000, n))
+    items = [(k, words(n_words)) for k in range(n_items)]
+    docs = [(k, f"{words(90)} {text} {words(70)}") for k, text in items[:40]] + [(1000 + k, words(800)) for k in range(20)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(8)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = [(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(frame, bench).collect()]
+    assert sorted(found) == [(k, k) for k, _ in items[:40]]
+
+
+def test_blocks_are_bounded_by_pieces(spark):
+    sizes = [20, 9000, 6000, 64, 65, 20000, 30]
+    bench = spark.createDataFrame([(k, "w " * n) for k, n in enumerate(sizes)], "item_id long, text string")
+    blocks = [[i.item_id for i in b] for b in decontaminate.read_items(bench)]
+    assert blocks == [[0, 1], [2, 3, 4], [5], [6]]
+
+
 def test_lcs():
     a, b = np.array([1, 2, 3, 4, 5], np.uint64), np.array([9, 1, 3, 2, 4, 4, 5], np.uint64)
     assert decontaminate.lcs(a, b) == 4 and decontaminate.lcs(a, b[:0]) == 0
