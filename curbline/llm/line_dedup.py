@@ -12,12 +12,15 @@ earliest (smallest id, then first line) stays; all lines of later ones go. Longe
 overlapping runs, so they go from end to end. Runs are judged on the input, not on what is
 left.
 
+With ``run_words``, fewer lines are a run too if they have that many words in all: every stretch of fewer than
+``run_lines`` lines that reaches it is a run of its own, keyed by its hash.
+
 Everything is DataFrame expressions. Only hashes are exploded and shuffled for the search,
 fingerprints that occur once are dropped before runs are compared, and both searches are
 aggregates with map-side combining; texts are shuffled once, to meet their own lines' fate.
 
 Defined results: a NULL text stays NULL; an empty one stays empty; a document of fewer than
-``run_lines`` lines is unchanged. A NULL id comes before all ids. Rows equal in id and text
+``run_lines`` lines is unchanged unless ``run_words`` is given. A NULL id comes before all ids. Rows equal in id and text
 are one document: each gets that document's result. Further columns are kept as they are;
 columns that start with ``_ld_`` are reserved.
 """
@@ -29,16 +32,21 @@ from pyspark.sql import functions as F
 
 RUN_LINES = 3
 GRAM = 2
+#: Words of a passage, for callers whose documents have whole paragraphs in a line.
+PASSAGE_WORDS = 50
 
 
 def _sequence(text: Column) -> Column:
-    """Structs (line number, hash) of the lines that aren't blank."""
+    """Structs (line number, hash, words) of the lines that aren't blank."""
     lines = F.transform(
         F.split(text, "\n", -1),
         lambda line, i: F.struct(i.alias("i"), F.regexp_replace(line, r"^[ \t\x0B\f\r]+|[ \t\x0B\f\r]+$", "").alias("s")),
     )
     return F.transform(
-        F.filter(lines, lambda x: x["s"] != ""), lambda x: F.struct(x["i"].alias("i"), F.xxhash64(x["s"]).alias("h"))
+        F.filter(lines, lambda x: x["s"] != ""),
+        lambda x: F.struct(
+            x["i"].alias("i"), F.xxhash64(x["s"]).alias("h"), F.size(F.split(x["s"], r"[ \t\x0B\f\r]+")).alias("w")
+        ),
     )
 
 
@@ -47,10 +55,27 @@ def _range(start: int, stop: Column) -> Column:
     return F.when(stop > start, F.sequence(F.lit(start), stop - 1)).otherwise(F.array().cast("array<int>"))
 
 
-def _runs(keyed: DataFrame, run_lines: int, gram: int) -> DataFrame:
-    """One row per run start: the fingerprint selected in it, its place, and the whole run's hash."""
+def _short_runs(n: int, run_words: int, whole, mark: int) -> Column:
+    """The stretches of ``n`` lines that have ``run_words`` words; ``mark``, no fingerprint's place, stands for it."""
+    enough = lambda p: sum((F.col("w")[p + k] for k in range(n)), F.lit(0)) >= run_words
+    run = lambda p: F.struct(
+        p.alias("start"),
+        F.lit(n).alias("lines"),
+        F.struct(whole(p, n).alias("f"), F.lit(mark).alias("k")).alias("pick"),
+        whole(p, n).alias("run"),
+    )
+    return F.transform(F.filter(_range(0, F.size("h") - n + 1), enough), run)
+
+
+def _runs(keyed: DataFrame, run_lines: int, gram: int, run_words: int | None) -> DataFrame:
+    """One row per run: its start and lines, the fingerprint selected in it, its place, and the whole run's hash."""
     width = run_lines - gram + 1
-    hashed = keyed.select("_ld_id", "_ld_text", F.transform("_ld_seq", lambda x: x["h"]).alias("h"))
+    hashed = keyed.select(
+        "_ld_id",
+        "_ld_text",
+        F.transform("_ld_seq", lambda x: x["h"]).alias("h"),
+        F.transform("_ld_seq", lambda x: x["w"]).alias("w"),
+    )
     grams = hashed.withColumn(
         "g",
         F.transform(
@@ -61,18 +86,20 @@ def _runs(keyed: DataFrame, run_lines: int, gram: int) -> DataFrame:
     picks = lambda p: F.array_min(
         F.array(*[F.struct(F.col("g")[p + k].alias("f"), F.lit(-k).alias("k")) for k in range(width)])
     )
+    whole = lambda p, n: F.xxhash64(*[F.col("h")[p + k] for k in range(n)])
     runs = F.transform(
         _range(0, F.size("g") - width + 1),
         lambda p: F.struct(
-            p.alias("start"),
-            picks(p).alias("pick"),
-            F.xxhash64(*[F.col("h")[p + k] for k in range(run_lines)]).alias("run"),
+            p.alias("start"), F.lit(run_lines).alias("lines"), picks(p).alias("pick"), whole(p, run_lines).alias("run")
         ),
     )
+    if run_words is not None:
+        runs = F.concat(runs, *[_short_runs(n, run_words, whole, -width - n) for n in range(1, run_lines)])
     return grams.select("_ld_id", "_ld_text", F.explode(runs).alias("r")).select(
         "_ld_id",
         "_ld_text",
         F.col("r.start").alias("start"),
+        F.col("r.lines").alias("lines"),
         F.struct("r.pick.f", "r.pick.k", "r.run").alias("run"),
     )
 
@@ -83,15 +110,19 @@ def remove_repeated_runs(
     text_col: str = "text",
     run_lines: int = RUN_LINES,
     gram: int = GRAM,
+    run_words: int | None = None,
 ) -> DataFrame:
-    """``df`` without later repeated runs of lines, and with ``n_lines``, ``n_removed`` (lines)."""
+    """``df`` without later repeated runs of lines, and with ``n_lines``, ``n_removed`` (lines).
+
+    A run has ``run_lines`` lines or, if ``run_words`` is given, fewer lines of that many words in all.
+    """
     if not 1 <= gram <= run_lines:
         raise ValueError("gram must be between 1 and run_lines")
     text = F.coalesce(F.col(text_col), F.lit(""))
     own = {"_ld_id": F.col(id_col).cast("long"), "_ld_text": F.xxhash64(text)}
     docs = df.select(*[F.col(f"`{c}`") for c in df.columns if c not in ("n_lines", "n_removed")])
     keyed = docs.select(own["_ld_id"].alias("_ld_id"), own["_ld_text"].alias("_ld_text"), _sequence(text).alias("_ld_seq"))
-    runs = _runs(keyed, run_lines, gram)
+    runs = _runs(keyed, run_lines, gram, run_words)
     place = F.struct(F.col("_ld_id").isNotNull(), F.col("_ld_id"), F.col("_ld_text"), F.col("start"))
     first = (
         runs.groupBy("run")
@@ -100,12 +131,12 @@ def remove_repeated_runs(
         .select("run", "first")
     )
     later = runs.join(first, "run").where(place > F.col("first"))
-    removed = later.groupBy("_ld_id", "_ld_text").agg(F.collect_set("start").alias("starts"))
+    removed = later.groupBy("_ld_id", "_ld_text").agg(F.collect_set(F.struct("start", "lines")).alias("starts"))
     hit = removed.select(
         F.col("_ld_id").alias("_ld_id2"),
         F.col("_ld_text").alias("_ld_text2"),
         F.array_distinct(
-            F.flatten(F.transform("starts", lambda s: F.sequence(s, s + run_lines - 1)))
+            F.flatten(F.transform("starts", lambda s: F.sequence(s["start"], s["start"] + s["lines"] - 1)))
         ).alias("_ld_gone"),
     )
     lines = F.split(text, "\n", -1)

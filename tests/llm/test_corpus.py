@@ -138,6 +138,22 @@ def test_line_runs(spark, nothing):
     assert line_dedup.remove_repeated_runs(nothing).count() == 0
 
 
+def test_long_passages_of_few_lines(spark):
+    words = lambda name, n: " ".join(f"{name}{k}" for k in range(n))
+    one, two, short, tail = words("a", 52), words("b", 30), words("c", 49), words("d", 20)
+    rows = [
+        (1, f"x\n{one}\ny"), (2, f"z\n{one} \nq"), (3, one), (4, f"{two}\n{tail}\nr"), (5, f"s\n{two}\n\n{tail}"),
+        (6, f"{short}\nt"), (7, f"u\n{short}"), (8, f"{two}\nv\n{tail}"), (9, f"{tail}\n{two}"), (10, f"{one}\n{one}"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {**dict(rows), 2: "z\nq", 3: "", 5: "s\n", 10: ""}
+    out = line_dedup.remove_repeated_runs(df, run_words=50)
+    assert {r["doc_id"]: r["text"] for r in out.collect()} == want
+    docs = df.withColumn("n_chars", F.length("text").cast("long"))
+    kept = {r["doc_id"]: r["text"] for r in corpus_pipeline.without_repeated_lines(spark, docs, SF_DIR).collect()}
+    assert kept == {d: t for d, t in want.items() if t}
+
+
 # ---------------------------------------------------------------- op5
 
 
