@@ -7,7 +7,9 @@
    ``BANDS`` bands of ``ROWS`` values: two nodes of similarity s collide in one with probability
    1 - (1 - s^ROWS)^BANDS, 0.96 at 0.75 and 0.99 at 0.85.
 3. *Verification.* Colliding nodes are joined to their band's least node, and the exact Jaccard
-   similarity of their shingle sets decides.
+   similarity of their shingle sets decides. A band whose other nodes these links leave in more than one component is then
+   compared within itself, in salted blocks of about ``BLOCK_NODES``: pairs of different components that share one of
+   the shingles of which similar sets must share one are verified too. So every colliding pair is verified or connected.
 4. *Clusters* are the components of the verified links. The earliest paragraph of a cluster (smallest id, then first
    word) stays; later ones repeat. Neighbouring repeats of ``RUN_WORDS`` words or more in all are removed.
 
@@ -31,6 +33,7 @@ from pyspark.sql import functions as F
 from curbline.llm.common import scratch, slices, text_bytes
 from curbline.llm.components import connected_components
 from curbline.llm.words import common, mix, shingle_hashes, word_hashes
+from curbline.session import remove_path
 
 LINE_WORDS = 24
 REACH = 5
@@ -38,6 +41,8 @@ LEAST_WORDS = 6
 BANDS, ROWS = 4, 2
 PERCENT = 75
 RUN_WORDS = 20
+#: Nodes of one band that are compared with each other in one task.
+BLOCK_NODES = 256
 _NO_ID = -(1 << 63)
 _SEEDS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -151,6 +156,96 @@ def _verified(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b", "set_a", "set_b").mapInArrow(work, "a long, b long")
 
 
+def _open_members(collisions: DataFrame, links: DataFrame) -> DataFrame:
+    """(key, lo, hi, own, head, node): the nodes of bands that hold several components, dealt to pairs of blocks.
+
+    The nodes connected to the band's least one, which may be very many, need no comparison with each other: their
+    blocks meet only those of the others. ``own`` is the node's block, ``head`` its component.
+    """
+    heads = connected_components(links)
+    known = collisions
+    for side in ("node", "pivot"):
+        named = heads.withColumnsRenamed({"node": side, "component": f"{side}_head"})
+        known = known.join(named, side, "left").withColumn(f"{side}_head", F.coalesce(f"{side}_head", side))
+    known = known.select("key", "node", F.col("node_head").alias("head"), (F.col("node_head") != F.col("pivot_head")).alias("minor"))
+    known, _ = scratch(known, "band-nodes")
+    blocks = lambda n: F.ceil(n / BLOCK_NODES).cast("int")
+    sizes = (
+        known.groupBy("key")
+        .agg(F.min("head").alias("low"), F.max("head").alias("high"), F.count_if("minor").alias("minors"), F.count("*").alias("n"))
+        .where("low != high")
+        .select("key", blocks(F.col("minors")).alias("inner"), blocks(F.col("n") - F.col("minors")).alias("outer"))
+    )
+    spread = F.xxhash64("node")
+    own = F.when(F.col("minor"), F.pmod(spread, "inner")).otherwise(F.col("inner") + F.pmod(spread, "outer")).cast("int")
+    met = F.when(F.col("minor"), F.col("inner") + F.col("outer")).otherwise(F.col("inner"))
+    dealt = known.join(sizes, "key").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), met - 1)))
+    return dealt.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "head", "node")
+
+
+def _near_in_groups(group: np.ndarray, own: np.ndarray, head: np.ndarray, sets: list[np.ndarray], one_block: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Rows of one group but of different heads whose sets are similar; of different blocks unless ``one_block``."""
+    # The least shingles of two sets as similar as this share one, if as many are left out as must be common, less one.
+    sizes = np.array([len(s) for s in sets])
+    firsts = sizes - -(-percent * sizes // 100) + 1
+    row = np.repeat(np.arange(len(sets)), firsts)
+    shingle = np.concatenate([s[:n] for s, n in zip(sets, firsts.tolist(), strict=True)])
+    order = np.lexsort((shingle, group[row]))
+    row, shingle = row[order], shingle[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (shingle[1:] != shingle[:-1]) | (group[row[1:]] != group[row[:-1]])
+    edges = np.append(np.flatnonzero(new), len(row))
+    tried: set[tuple[int, int]] = set()
+    out = []
+    for k in np.flatnonzero(np.diff(edges) > 1):
+        rows = np.sort(row[edges[k] : edges[k + 1]])
+        a, b = (rows[x] for x in np.triu_indices(len(rows), 1))
+        apart = (head[a] != head[b]) & (one_block[a] | (own[a] != own[b]))
+        apart &= 100 * np.minimum(sizes[a], sizes[b]) >= percent * np.maximum(sizes[a], sizes[b])
+        for i, j in zip(a[apart].tolist(), b[apart].tolist(), strict=True):
+            if (i, j) in tried:
+                continue
+            tried.add((i, j))
+            both = common(sets[i], sets[j])
+            if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                out.append((i, j))
+    return out
+
+
+def _verified_in_blocks(members: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of similar nodes of different components in one pair of blocks, of members with ``shingles``."""
+    names = ["key", "lo", "hi"]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def links(part: pa.Table) -> pa.RecordBatch:
+            key, lo, hi, own, head, node = (part.column(k).to_numpy() for k in range(6))
+            sets = [np.sort(s.values.to_numpy().view(np.uint64)) for s in part.column(6)]
+            group = np.cumsum(np.concatenate([[0], (key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])]))
+            near = np.array(_near_in_groups(group, own, head, sets, lo == hi, percent), np.int64).reshape(-1, 2)
+            return pa.RecordBatch.from_arrays([pa.array(node[near[:, 0]]), pa.array(node[near[:, 1]])], names=["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            last = [batch.column(k)[batch.num_rows - 1].as_py() for k in range(3)]
+            first = [held[0].column(k)[0].as_py() for k in range(3)]
+            if last == first:
+                continue
+            # The last group may go on in the next batch.
+            same = np.logical_and.reduce([batch.column(k).to_numpy() == last[k] for k in range(3)])
+            stop = batch.num_rows - int(same.sum())
+            yield links(pa.Table.from_batches([*held[:-1], batch.slice(0, stop)]))
+            held = [batch.slice(stop)]
+        if held:
+            yield links(pa.Table.from_batches(held))
+
+    dealt = members.repartition(*names).sortWithinPartitions(*names)
+    return dealt.select(*names, "own", "head", "node", "shingles").mapInArrow(work, "a long, b long")
+
+
 def _runs(listed: DataFrame, run_words: int) -> DataFrame:
     """Runs of neighbouring repeats, of (doc, repeats): structs of first, words, kept."""
     names = ["doc_id", "first_word", "n_words", "n_paragraphs", "kept_doc_id"]
@@ -188,17 +283,26 @@ def repeated_passages(
     # Written before they are joined back, so that only one of both shuffles takes room at a time.
     pivots = keys.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot != last")
     pivots, _ = scratch(pivots.select("key", "pivot"), "pivots")
-    collided = keys.join(pivots, "key").where("node != pivot")
-    pairs, _ = scratch(collided.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(), "collisions")
+    collided = keys.join(pivots, "key").where("node != pivot").select("key", "node", "pivot").distinct()
+    collided, collided_path = scratch(collided, "band-collisions")
+    pairs = collided.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
+    pairs, pairs_path = scratch(pairs, "collisions")
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     slim = places.select("node", "doc", "first", "words")
     one = slim.join(wanted, "node").groupBy("node").agg(F.min(F.struct("doc", "first", "words")).alias("at"))
     listed = one.groupBy("at.doc").agg(F.collect_list(F.struct("at.first", "at.words", "node")).alias("listed"))
-    sets, _ = scratch(_shingles(docs.join(listed.hint("merge"), "doc")), "paragraph-sets")
+    sets, sets_path = scratch(_shingles(docs.join(listed.hint("merge"), "doc")), "paragraph-sets")
     sets = sets.dropDuplicates(["node"])
     for side in "ab":
         pairs = pairs.join(sets.withColumnsRenamed({"node": side, "shingles": f"set_{side}"}), side)
     links, _ = scratch(_verified(pairs, percent), "passage-links")
+    remove_path(df.sparkSession, pairs_path)
+    members, members_path = scratch(_open_members(collided, links), "open-bands")
+    remove_path(df.sparkSession, collided_path)
+    more, _ = scratch(_verified_in_blocks(members.join(sets, "node"), percent).distinct(), "passage-links")
+    for path in (members_path, sets_path):
+        remove_path(df.sparkSession, path)
+    links = links.union(more)
     named = slim.join(connected_components(links), "node", "left").withColumn("cluster", F.coalesce("component", "node"))
     place = F.struct("doc", "first")
     first = named.groupBy("cluster").agg(F.min(place).alias("kept"), F.max(place).alias("last")).where(F.col("kept") != F.col("last"))

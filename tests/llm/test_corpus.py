@@ -87,6 +87,45 @@ def test_similar_lines_cluster(spark):
     assert {(r["doc_id"], r["kept_doc_id"]) for r in found} == {(3, 1)}
 
 
+def brute_passages(rows, percent=75):
+    """Components of all colliding pairs that are similar, by node."""
+    import pyarrow as pa
+
+    from curbline.llm.words import shingle_hashes, word_hashes
+
+    nodes = {}
+    for _, text in rows:
+        words, marks = word_hashes(pa.array([text]))
+        hashes, _ = shingle_hashes(words, marks)
+        keys = {(k // 2, tuple(int((hashes * s).min()) for s in paragraph_dedup._SEEDS[k : k + 2])) for k in range(0, 8, 2)}
+        nodes[text] = (set(hashes.tolist()), keys)
+    root = {t: t for t in nodes}
+    for a, b in combinations(nodes, 2):
+        both = len(nodes[a][0] & nodes[b][0])
+        if nodes[a][1] & nodes[b][1] and 100 * both >= percent * len(nodes[a][0] | nodes[b][0]):
+            root = {t: root[a] if r == root[b] else r for t, r in root.items()}
+    return root
+
+
+@pytest.mark.parametrize("block", [3, 256])
+def test_every_colliding_pair_is_compared(spark, block, monkeypatch):
+    monkeypatch.setattr(paragraph_dedup, "BLOCK_NODES", block, raising=False)
+    # Boilerplate at the start, own words behind it: bands are full of dissimilar lines.
+    start = " ".join(f"s{k}" for k in range(12))
+    rows = []
+    for k in range(60):
+        own = [f"x{k}y{j}" for j in range(12)]
+        rows += [(3 * k, f"{start} {' '.join(own)}"), (3 * k + 1, f"{start} {' '.join([*own[:-1], 'end'])}"), (3 * k + 2, f"{start} {' '.join([*own[:-2], 'other', 'end'])}")]
+    found = paragraph_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    clusters: dict = {}
+    root = brute_passages(rows)
+    for doc, text in rows:
+        clusters.setdefault(root[text], []).append(doc)
+    want = {(d, min(c)) for c in clusters.values() for d in c if d != min(c)}
+    assert len(want) > 60
+    assert {(r["doc_id"], r["kept_doc_id"]) for r in found} == want
+
+
 # ---------------------------------------------------------------- op2
 
 
