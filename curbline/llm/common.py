@@ -43,8 +43,8 @@ def scratch(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
-def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """The batch in consecutive row ranges of about ``SLICE_BYTES`` of ``column``.
+def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in consecutive row ranges of about ``size`` bytes of ``column``.
 
     A longer text is a range of its own. Behind the last range, free memory is given back.
     """
@@ -56,7 +56,7 @@ def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
     start = 0
     while start < batch.num_rows:
         base = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, base + SLICE_BYTES, side="right")))
+        stop = max(start + 1, int(np.searchsorted(ends, base + size, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
     give_back_memory()

@@ -5,9 +5,7 @@ A document's ids, with an end id behind them, are cut into full sequences of
 first. Pieces of equal length form a bucket; each piece is a sequence of its own, so its
 offset is 0 and a batch from one bucket needs no padding.
 
-Ids are those of the tokenizer on the whole text. Its pre-tokenizer never joins words over
-white space, so texts are cut at ASCII white space, and a worker tokenizes each
-different word once and then looks it up. That keeps memory bounded for texts of any length.
+Ids are those of the tokenizer on the whole text (see ``word_ids``).
 
 Defined results: a NULL or empty text is the end id alone; a NULL ``doc_id`` stays NULL;
 repeated rows are packed each; an empty table gives an empty table; further columns of the
@@ -16,26 +14,19 @@ input are not read.
 
 from __future__ import annotations
 
-import functools
-import os
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curbline.llm.common import scratch, slices
+from curbline.llm.word_ids import WORD_SLICE, with_end, worker_words
 
 MAX_TOKENS = 4096
 END_ID = 2
-#: Words a Python worker remembers; when there are more, it starts anew.
-CACHE_WORDS = 1_000_000
-#: This special token never stands within a word that is looked up.
-_MARK = "<|startoftext|>"
-_MARK_ID = 49406
 
 
 def pieces_of(n: int, max_tokens: int = MAX_TOKENS) -> np.ndarray:
@@ -44,79 +35,14 @@ def pieces_of(n: int, max_tokens: int = MAX_TOKENS) -> np.ndarray:
     return np.array([max_tokens] * (n // max_tokens) + digits, dtype=np.int64)
 
 
-class WordIds:
-    """Ids of words, each tokenized once."""
-
-    def __init__(self, tokenizer_path: str, cache_words: int = CACHE_WORDS) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.cache_words = cache_words
-        self._clear()
-
-    def _clear(self) -> None:
-        self.number: dict[str, int] = {}
-        self.ids = np.zeros(1 << 16, np.uint16)
-        self.used = 0
-        self.starts, self.sizes = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
-
-    def _learn(self, words: list[str]) -> None:
-        rare = [w for w in words if "<|" in w]
-        if rare:
-            words = [w for w in words if "<|" not in w]
-        for k in range(0, len(words), 2000):
-            part = words[k : k + 2000]
-            ids = np.array(self.tokenizer.encode(_MARK.join(part), add_special_tokens=False).ids, np.uint16)
-            marks = np.flatnonzero(ids == _MARK_ID)
-            ends = np.append(marks, len(ids)) - np.arange(len(part))
-            self._store(part, ids[ids != _MARK_ID], np.diff(ends, prepend=0))
-        for word in rare:
-            ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, np.uint16)
-            self._store([word], ids, np.array([len(ids)]))
-
-    def _store(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
-        n, stop = len(self.number), len(self.number) + len(words)
-        self.number.update(zip(words, range(n, stop), strict=True))
-        if stop > len(self.starts):
-            self.starts = np.resize(self.starts, 2 * stop)
-            self.sizes = np.resize(self.sizes, 2 * stop)
-        if self.used + len(ids) > len(self.ids):
-            self.ids = np.resize(self.ids, 2 * (self.used + len(ids)))
-        self.starts[n:stop] = self.used + np.cumsum(sizes) - sizes
-        self.sizes[n:stop] = sizes
-        self.ids[self.used : self.used + len(ids)] = ids
-        self.used += len(ids)
-
-    def encode(self, texts: pa.Array) -> list[np.ndarray]:
-        """The ids of every text, without the end id."""
-        texts = texts.fill_null("")
-        # The tokenizer lower-cases all but its special tokens, which hold "<|".
-        texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
-        words = pc.ascii_split_whitespace(texts)
-        coded = words.flatten().dictionary_encode()
-        names = coded.dictionary.to_pylist()
-        if len(self.number) + len(names) > self.cache_words and self.number:
-            self._clear()
-        if new := [w for w in names if w not in self.number]:
-            self._learn(new)
-        number = np.fromiter(map(self.number.__getitem__, names), np.int64, len(names))
-        codes = number[np.asarray(coded.indices)] if len(names) else np.zeros(0, np.int64)
-        sizes, starts = self.sizes[codes], self.starts[codes]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        flat = self.ids[np.repeat(starts - (ends - sizes), sizes) + np.arange(total)]
-        marks = np.concatenate([[0], ends])[np.asarray(words.offsets) - words.offsets[0].as_py()]
-        return [flat[a:b] for a, b in zip(marks[:-1], marks[1:], strict=True)]
-
-
-@functools.cache
-def _worker_words(tokenizer_path: str) -> WordIds:
-    """One for all tasks of a worker."""
-    return WordIds(tokenizer_path)
+_PIECES = "doc_id long, start long, length long, doc_tokens long, ids_crc32 long, ids array<int>"
 
 
-_PIECES = "doc_id long, start long, length long, doc_tokens long, ids_crc32 long, ids array<int>"
+def digests(ids: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """The crc32 of each run of ids, as unsigned 32-bit little-endian numbers."""
+    raw = memoryview(ids.astype("<u4").tobytes())
+    at = (4 * edges).tolist()
+    return np.array([zlib.crc32(raw[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)], np.int64)
 
 
 def pack(
@@ -136,29 +62,28 @@ def pack(
     names = [c.split()[0] for c in _PIECES.split(", ")]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _worker_words(tokenizer_path)
+        words = worker_words(tokenizer_path)
         for batch in batches:
-            for part in slices(batch, "text"):
-                docs, starts, lengths, totals, sums, kept = [], [], [], [], [], []
-                for doc, ids in zip(part.column(0).to_pylist(), words.encode(part.column(1)), strict=True):
-                    ids = np.append(ids, np.uint16(end_id)).astype("<u4")
-                    sizes = pieces_of(len(ids), max_tokens)
-                    at = np.cumsum(sizes) - sizes
-                    raw = memoryview(ids.tobytes())
-                    docs += [doc] * len(sizes)
-                    totals += [len(ids)] * len(sizes)
-                    starts.append(at)
-                    lengths.append(sizes)
-                    sums += [zlib.crc32(raw[4 * a : 4 * (a + n)]) for a, n in zip(at.tolist(), sizes.tolist())]
-                    if with_ids:
-                        kept.append(ids)
-                sizes = np.concatenate(lengths)
-                ids = pa.nulls(len(sizes), pa.list_(pa.int32()))
+            for part in slices(batch, "text", WORD_SLICE):
+                ids, marks = with_end(*words.encode(part.column(1)), end_id)
+                totals = np.diff(marks)
+                each = [pieces_of(n, max_tokens) for n in totals.tolist()]
+                counts = [len(sizes) for sizes in each]
+                sizes = np.concatenate(each)
+                edges = np.concatenate([[0], np.cumsum(sizes)])
+                columns = [
+                    np.repeat(np.arange(len(totals)), counts),
+                    edges[:-1] - np.repeat(marks[:-1], counts),
+                    sizes,
+                    np.repeat(totals, counts),
+                    digests(ids, edges),
+                ]
+                docs = part.column(0).take(pa.array(columns[0]))
+                kept = pa.nulls(len(sizes), pa.list_(pa.int32()))
                 if with_ids:
-                    edges = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-                    ids = pa.ListArray.from_arrays(edges, np.concatenate(kept).astype(np.int32))
-                columns = [docs, np.concatenate(starts), sizes, totals, sums]
-                yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in columns], ids], names=names)
+                    kept = pa.ListArray.from_arrays(edges.astype(np.int32), ids.astype(np.int32))
+                numbers = [pa.array(c, pa.int64()) for c in columns[1:]]
+                yield pa.RecordBatch.from_arrays([docs, *numbers, kept], names=names)
 
     source = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     # Written once, so that a piece's number cannot change between two readings.
@@ -167,21 +92,3 @@ def pack(
         "*", F.monotonically_increasing_id().alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     )
     return numbered if with_ids else numbered.drop("ids")
-
-
-def with_digest(packed: DataFrame) -> DataFrame:
-    """``packed`` with ``ids_crc32``, the digest of its ``ids`` as 32-bit little-endian numbers, in their place."""
-    rest = [c for c in packed.columns if c != "ids"]
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column(len(rest))
-            raw = memoryview(lists.flatten().to_numpy().astype("<u4").tobytes())
-            marks = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(), dtype=np.int64)]).tolist()
-            sums = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(marks[:-1], marks[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[: len(rest)], pa.array(sums, pa.int64())], names=[*rest, "ids_crc32"]
-            )
-
-    schema = ", ".join(f"`{c}` {kind}" for c, kind in packed.select(rest).dtypes)
-    return packed.select(*rest, "ids").mapInArrow(work, f"{schema}, ids_crc32 long")

@@ -10,6 +10,7 @@ import zlib
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from compare import connect, difference
 from pyspark.sql import functions as F
@@ -29,6 +30,7 @@ from curbline.llm import (
     warc,
 )
 from curbline.llm.components import connected_components
+from curbline.llm.word_ids import WordIds
 
 SF_DIR = "/root/testdata/sf0.001"
 EXTRA = "doc_id long, text string, host string, keep_id long"
@@ -378,16 +380,26 @@ def test_packing_round_trip(spark, edge, nothing):
     assert packing.pack(nothing, queries.tokenizer_path()).count() == 0
 
 
-def test_packed_digests_are_those_of_the_ids(spark, edge, monkeypatch):
-    packed = packing.pack(edge, queries.tokenizer_path())
-    rows = packing.with_digest(packed.withColumnRenamed("ids_crc32", "told")).collect()
-    assert len(rows) > len(EDGE) and all(r["ids_crc32"] == r["told"] for r in rows)
-    one_more = packed.drop("ids_crc32").withColumn("ids", F.concat("ids", F.array(F.lit(7))))
-    changed = {r["sequence_id"]: r["ids_crc32"] for r in packing.with_digest(one_more).collect()}
-    assert all(changed[r["sequence_id"]] != r["ids_crc32"] for r in rows)
-    read = []
-    monkeypatch.setattr(packing, "with_digest", lambda df, f=packing.with_digest: read.append(df.columns) or f(df))
-    assert queries.op9_packing(spark, SF_DIR).count() and "ids" in read[0]
+def test_digests_are_those_of_the_packed_ids(spark):
+    packed = packing.pack(spark.read.parquet(f"{SF_DIR}/documents.parquet"), queries.tokenizer_path()).collect()
+    place = lambda r: (r["doc_id"], r["start"], r["length"], r["doc_tokens"])
+    ids = {place(r): r["ids"] for r in packed}
+    rows = queries.op9_packing(spark, SF_DIR).collect()
+    assert len(rows) == len(ids) and "ids" not in rows[0].asDict()
+    assert all(r["ids_crc32"] == zlib.crc32(np.array(ids[place(r)], "<u4").tobytes()) for r in rows)
+
+
+def test_word_ids_are_the_tokenizers():
+    from tokenizers import Tokenizer
+
+    tokenizer, words = Tokenizer.from_file(queries.tokenizer_path()), WordIds(queries.tokenizer_path(), cache_words=500)
+    rng = np.random.default_rng(3)
+    parts = [*"aBcdeZ09 7'.,<|>\n\t\x0b\x1c\x7f\x00\u00e9\u00c9\u00df\u0130\u0131\u212a\u6f22\u00bd\u0663\u00a0\u2028\u0085\ufb01\u03a3\u03c2", "'s", "'LL", "<|startoftext|>", " 7 ", "the"]
+    for _ in range(4):
+        texts = ["".join(rng.choice(parts, rng.integers(0, 16))) for _ in range(1500)] + [None]
+        ids, marks = words.encode(pa.array(texts))
+        for k, text in enumerate(texts):
+            assert ids[marks[k] : marks[k + 1]].tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
 # ---------------------------------------------------------------- op10
