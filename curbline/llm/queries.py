@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbline.llm import decontaminate, exact_dedup, jaccard_join, line_dedup, packing, paragraph_dedup, quality_crf, suffix_dedup, url_filter, warc
+from curbline.llm import (
+    ball_codes,
+    decontaminate,
+    exact_dedup,
+    jaccard_join,
+    line_dedup,
+    packing,
+    paragraph_dedup,
+    quality_crf,
+    suffix_dedup,
+    url_filter,
+    warc,
+)
 from curbline.llm.common import table
 from curbline.session import scratch_path
 
@@ -157,3 +169,46 @@ def op9_packing(spark, sf_dir):
 @query()
 def op10_suffix_dedup(spark, sf_dir):
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def _assigned(vectors: str, entries: str) -> str:
+    """SQL for the nearest entry of every part: (vec_id, p, x, e, d)."""
+    return f"""(SELECT vec_id, p, any_value(x) AS x, min(d * 64 + e) % 64 AS e, min(d * 64 + e) // 64 AS d
+        FROM (SELECT v.vec_id, v.p, v.x, c.e, (v.x[1] - c.c[1]) ** 2 + (v.x[2] - c.c[2]) ** 2
+            + (v.x[3] - c.c[3]) ** 2 + (v.x[4] - c.c[4]) ** 2 AS w, CAST(w AS BIGINT) AS d
+            FROM {vectors} v JOIN {entries} c ON c.p = v.p) GROUP BY vec_id, p)"""
+
+
+def _renewed(entries: str, assigned: str) -> str:
+    """SQL for the entries moved to the means of their parts."""
+    means = ", ".join(f"CAST(floor(sum(x[{i}])::DECIMAL(38, 0) / count(*)) AS BIGINT)" for i in range(1, 5))
+    return f"""(SELECT c.p, c.e, coalesce(m.c, c.c) AS c FROM {entries} c
+        LEFT JOIN (SELECT p, e, [{means}] AS c FROM {assigned} GROUP BY p, e) m ON m.p = c.p AND m.e = c.e)"""
+
+
+@query(f"""
+WITH kept AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * x::DOUBLE) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS (SELECT vec_id, p, v[4 * p + 1 : 4 * p + 4] AS x FROM kept, range(16) AS r(p)),
+first AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept ORDER BY vec_id LIMIT 64),
+c0 AS (SELECT p, e, x AS c FROM parts JOIN first USING (vec_id)),
+a0 AS {_assigned("parts", "c0")}, c1 AS {_renewed("c0", "a0")},
+a1 AS {_assigned("parts", "c1")}, c2 AS {_renewed("c1", "a1")},
+a2 AS {_assigned("parts", "c2")},
+coded AS (SELECT vec_id, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+    FROM a2 GROUP BY vec_id),
+labelled AS (SELECT label, CAST(sum(error) AS BIGINT) AS label_error FROM coded JOIN kept USING (vec_id) GROUP BY label),
+digest AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM c2)
+SELECT vec_id, code, error, label_error, codebooks_sha256
+FROM coded JOIN kept USING (vec_id) JOIN labelled l ON l.label IS NOT DISTINCT FROM kept.label, digest""")
+def op11_ball_codes(spark, sf_dir):
+    found = ball_codes.compress(table(spark, sf_dir, "embeddings"))
+    return found.rows.select(
+        "vec_id",
+        F.lower(F.hex("code")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(found.codebooks.sha256()).alias("codebooks_sha256"),
+    )
