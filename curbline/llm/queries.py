@@ -11,6 +11,7 @@ from curbline.llm import (
     ball_codes,
     decontaminate,
     exact_dedup,
+    hard_negatives,
     jaccard_join,
     line_dedup,
     packing,
@@ -212,3 +213,29 @@ def op11_ball_codes(spark, sf_dir):
         "label_error",
         F.lit(found.codebooks.sha256()).alias("codebooks_sha256"),
     )
+
+
+@query("""
+WITH kept AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT a.vec_id AS anchor_id, o.vec_id AS other_id, o.label = a.label AS same,
+        CAST(list_dot_product(a.v, o.v) AS BIGINT) AS score
+    FROM kept a JOIN kept o ON o.vec_id <> a.vec_id WHERE a.vec_id % 50 = 0),
+positives AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.other_id AS negative_id,
+    p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+    AND 100 * s.score BETWEEN 50 * p.positive_score AND 95 * p.positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id)
+QUALIFY row_number() OVER w <= 3""")
+def op12_hard_negatives(spark, sf_dir):
+    changed = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", changed.alias("label"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 50 == 0)
