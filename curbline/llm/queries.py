@@ -18,6 +18,7 @@ from curbline.llm import (
     paragraph_dedup,
     quality_crf,
     suffix_dedup,
+    sum_packing,
     url_filter,
     warc,
 )
@@ -239,3 +240,8 @@ def op12_hard_negatives(spark, sf_dir):
     changed = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", changed.alias("label"))
     return hard_negatives.mine(rows, F.col("vec_id") % 50 == 0)
+
+
+@query()
+def op13_sum_packing(spark, sf_dir):
+    return sum_packing.pack(table(spark, sf_dir, "documents"), tokenizer_path()).drop("ids")
