@@ -44,7 +44,8 @@ class WordIds:
 
     def _clear(self) -> None:
         self.known = pa.array([], pa.string())
-        self.parts: dict[str, list[int]] = {}
+        # Flat sequences of numbers only: the garbage collector has little to walk through.
+        self.parts: dict[str, tuple[int, ...]] = {}
         self.ids = np.zeros(0, np.uint16)
         self.starts = np.zeros(0, np.int64)
         self.sizes = np.zeros(0, np.int64)
@@ -52,54 +53,64 @@ class WordIds:
     def _whole(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
-    def _plain(self, words: list[str]) -> list[list[int]]:
-        parts, model, found = self.parts, self.tokenizer.model, []
+    def _plain(self, words: list[str]) -> tuple[list[int], list[int]]:
+        """Ids of words of printable ASCII behind one another, and how many each word has."""
+        parts, model, cuts = self.parts, self.tokenizer.model, _CUTS.findall
+        flat: list[int] = []
+        ends = []
         for word in words:
-            ids: list[int] = []
-            for part in _CUTS.findall(word.lower()):
+            for part in cuts(word.lower()):
                 own = parts.get(part)
                 if own is None:
-                    own = parts[part] = [t.id for t in model.tokenize(part)]
-                ids += own
-            found.append(ids)
-        return found
-
-    def _other(self, words: list[str]) -> list[list[int]]:
-        found = []
+                    own = parts[part] = tuple([t.id for t in model.tokenize(part)])
+                flat += own
+            ends.append(len(flat))
+        return flat, np.diff(ends, prepend=0).tolist()
+
+    def _other(self, words: list[str]) -> tuple[list[int], list[int]]:
+        """The same of words that hold neither the digit between them nor a special token."""
+        flat: list[int] = []
+        sizes: list[int] = []
         for k in range(0, len(words), 2000):
-            ids = np.array(self._whole(f" {_BETWEEN} ".join(words[k : k + 2000])), np.int64)
+            ids = np.array(self._whole(f" {_BETWEEN} ".join(words[k : k + 2000])))
             marks = np.flatnonzero(ids == self.between[0])
-            edges = [-1, *marks.tolist(), len(ids)]
-            found += [ids[a + 1 : b].tolist() for a, b in zip(edges[:-1], edges[1:], strict=True)]
-        return found
-
-    def _learn(self, words: pa.Array) -> None:
-        plain = pc.and_(
-            pc.match_substring_regex(words, _PLAIN), pc.invert(pc.match_substring(words, "<|"))
-        )
-        odd = pc.and_(pc.invert(plain), pc.or_(pc.match_substring(words, _BETWEEN), pc.match_substring(words, "<|")))
+            sizes += (np.diff(marks, prepend=-1, append=len(ids)) - 1).tolist()
+            flat += ids[ids != self.between[0]].tolist()
+        return flat, sizes
+
+    def _learn(self, words: pa.Array) -> pa.Array:
+        """Learn new words; they are numbered in the order in which they come back."""
+        special = pc.match_substring(words, "<|")
+        plain = pc.and_(pc.match_substring_regex(words, _PLAIN), pc.invert(special))
+        odd = pc.and_(pc.invert(plain), pc.or_(pc.match_substring(words, _BETWEEN), special))
         rest = pc.invert(pc.or_(plain, odd))
+        alone = lambda several: [(ids, [len(ids)]) for ids in map(self._whole, several)]
         kinds = [words.filter(mask) for mask in (plain, rest, odd)]
-        lists = self._plain(kinds[0].to_pylist()) + self._other(kinds[1].to_pylist())
-        lists += map(self._whole, kinds[2].to_pylist())
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter(chain.from_iterable(lists), np.uint16, int(sizes.sum()))
+        texts = [kind.to_pylist() for kind in kinds]
+        learnt = [self._plain(texts[0]), self._other(texts[1]) if texts[1] else ([], []), *alone(texts[2])]
+        sizes = np.array([n for _, own in learnt for n in own], np.int64)
         self.known = pa.concat_arrays([self.known, *kinds])
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
-        self.ids = np.concatenate([self.ids, flat])
+        self.ids = np.concatenate([self.ids, *[np.array(flat, np.uint16) for flat, _ in learnt]])
+        return pa.concat_arrays(kinds)
 
     def _numbers(self, words: pa.Array) -> np.ndarray:
         """The place of every word among those known; new ones are learnt."""
         found = pc.index_in(words, value_set=self.known)
-        if found.null_count:
-            new = words.filter(found.is_null()).unique()
-            if len(self.known) and len(self.known) + len(new) > self.cache_words:
-                self._clear()
-                new = words.unique()
-            self._learn(new)
-            found = pc.index_in(words, value_set=self.known)
-        return found.to_numpy(zero_copy_only=False)
+        if not found.null_count:
+            return found.to_numpy()
+        new = words.filter(found.is_null()).unique()
+        if len(self.known) and len(self.known) + len(new) > self.cache_words:
+            self._clear()
+            return self._numbers(words)
+        base = len(self.known)
+        numbers = found.fill_null(-1).to_numpy()
+        learnt = self._learn(new)
+        missing = numbers < 0
+        numbers = np.where(missing, 0, numbers)
+        numbers[missing] = base + pc.index_in(words.filter(pa.array(missing)), value_set=learnt).to_numpy()
+        return numbers
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids behind one another, and the n+1 marks of the texts."""
