@@ -1,4 +1,4 @@
-"""Joins with lookups, orphan checks and the reconciling full join.
+"""Joins with lookups, orphan checks and the full join.
 
 No join here carries a broadcast hint. Spark broadcasts a side only when its
 size, estimated before and measured at run time, is below
@@ -46,55 +46,55 @@ def calendar_join(
     )
 
 
+def hot_keys(df: DataFrame, key: str, share: float = 0.01, tracked: int = 10_000) -> list:
+    """Keys that hold at least ``share`` of the rows, by a sketch of frequent items.
+
+    Every task adds up ``tracked`` candidates and the sketches are merged, so neither a shuffle of the
+    keys nor the driver's memory grows with the table. All keys of that share are found.
+    """
+    most = int(1 / share) + 1
+    found = df.agg(F.count(key).alias("n"), F.expr(f"approx_top_k(`{key}`, {most}, {tracked})").alias("top")).first()
+    return [item["item"] for item in found["top"] or [] if item["count"] >= share * found["n"]]
+
+
 def salted_full_join(
     left: DataFrame,
     right: DataFrame,
     key: str,
     prefixes: tuple[str, str] = ("lh_", "st_"),
     buckets: int = 1,
+    share: float = 0.01,
 ) -> DataFrame:
     """Full outer join on one key, each side's columns prefixed.
 
-    A full outer join cannot be split where one key is hot, so it is written as
-    a left outer join plus the right rows without partner. With ``buckets > 1``
-    rows of one key are also spread over that many salts, the other side's rows
-    being repeated once per salt.
+    A full outer join cannot be split where one key is hot. With ``buckets > 1`` the keys that hold
+    ``share`` of a side's rows are found first: their rows are spread over that many salts, and only
+    the other side's rows of those keys are repeated once per salt. Each side is joined once.
     """
     lp, rp = prefixes
-    lkey, rkey = lp + key, rp + key
+    lkey, rkey = F.col(lp + key), F.col(rp + key)
     a, b = shape.prefix_columns(left, lp), shape.prefix_columns(right, rp)
-    on = F.col(lkey) == F.col(rkey)
-    left_keys = a.select(F.col(lkey)).distinct()
-
-    if buckets > 1:
-        every_salt = F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)))
-        both = (
-            a.withColumn("__lsalt", _row_salt(a, buckets))
-            .join(
-                b.withColumn("__rsalt", every_salt),
-                on & (F.col("__lsalt") == F.col("__rsalt")),
-                "left",
-            )
-            .drop("__lsalt", "__rsalt")
-        )
-        only_right = (
-            b.withColumn("__rsalt", _row_salt(b, buckets))
-            .join(
-                left_keys.withColumn("__lsalt", every_salt),
-                on & (F.col("__lsalt") == F.col("__rsalt")),
-                "left_anti",
-            )
-            .drop("__rsalt")
-        )
-    else:
-        both = a.join(b, on, "left")
-        only_right = b.join(left_keys, on, "left_anti")
-    return both.unionByName(only_right, allowMissingColumns=True)
-
-
-def _row_salt(df: DataFrame, buckets: int) -> Column:
+    hot_left = hot_keys(left, key, share) if buckets > 1 else []
+    hot_right = [k for k in hot_keys(right, key, share) if k not in hot_left] if buckets > 1 else []
+    if not hot_left and not hot_right:
+        return a.join(b, lkey == rkey, "full")
+    spread, repeated = lkey.isin(hot_left), lkey.isin(hot_right)
+    a = a.withColumn("__lsalt", _salts(a, lkey, hot_left, hot_right, buckets)).withColumn("__left", F.lit(True))
+    b = b.withColumn("__rsalt", _salts(b, rkey, hot_right, hot_left, buckets)).withColumn("__right", F.lit(True))
+    both = a.join(b, (lkey == rkey) & (F.col("__lsalt") == F.col("__rsalt")), "full")
+    # A repeated row has a partner in some salt; in the others it stands alone for nothing.
+    spurious = (F.col("__left").isNull() & rkey.isin(hot_left)) | (F.col("__right").isNull() & repeated & ~spread)
+    return both.where(~F.coalesce(spurious, F.lit(False))).drop("__lsalt", "__rsalt", "__left", "__right")
+
+
+def _salts(df: DataFrame, key: Column, spread: list, repeated: list, buckets: int) -> Column:
+    """A row's salt, or all of them. Rows without a key have no partner and are spread, too."""
     # A hash of the whole row, so that a task run again gives the same salt.
-    return F.pmod(F.xxhash64(*df.columns), F.lit(buckets)).cast("int")
+    own = F.pmod(F.xxhash64(*df.columns), F.lit(buckets)).cast("int")
+    every = F.sequence(F.lit(0), F.lit(buckets - 1))
+    return F.explode(
+        F.when(key.isNull() | key.isin(spread), F.array(own)).when(key.isin(repeated), every).otherwise(F.array(F.lit(0)))
+    )
 
 
 def orphans(df: DataFrame, dim: DataFrame, fk: str, pk: str) -> DataFrame:

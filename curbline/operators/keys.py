@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from curbline import fixed
 from curbline.functions import text
-from curbline.operators import shape
+from curbline.operators import shape, tagged
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:
@@ -62,5 +62,4 @@ def duplicate_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def insert_if_absent(target: DataFrame, rows: DataFrame, key: Sequence[str]) -> DataFrame:
     """The target plus the rows whose key it lacks; running it twice adds nothing."""
-    new = distinct_on(rows, key).join(target.select(*key).distinct(), list(key), "left_anti")
-    return target.unionByName(new.select(*target.columns))
+    return tagged.preferred(target, rows.select(*target.columns), key, one_second=True)

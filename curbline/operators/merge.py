@@ -1,4 +1,4 @@
-"""Merges and upserts as joins: each returns the new image of the target.
+"""Merges and upserts: each returns the new image of the target, and reads target and batch once.
 
 Parquet tables have no MERGE. The caller writes the image over the touched
 partitions only (see ``sinks.tables.overwrite_months``).
@@ -13,13 +13,8 @@ from pyspark.sql import functions as F
 
 from curbline import fixed
 from curbline.functions import dates
-from curbline.operators import clean, keys as row_keys
-
-
-def _without_keys_of(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target rows whose key the batch does not hold; reads only the batch's keys."""
-    kept = target.join(batch.select(*keys).distinct(), list(keys), "left_anti")
-    return kept.select(*target.columns)
+from curbline.operators import clean, tagged
+from curbline.operators import keys as row_keys
 
 
 def merge_by_key(target: DataFrame, updates: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -27,13 +22,12 @@ def merge_by_key(target: DataFrame, updates: DataFrame, key: Sequence[str]) -> D
 
     Several updates of one key count as one: the first in column order.
     """
-    fresh = row_keys.distinct_on(updates.select(*target.columns), key)
-    return _without_keys_of(target, updates, key).unionByName(fresh)
+    return tagged.preferred(updates.select(*target.columns), target, key, one_first=True)
 
 
 def replace_by_key(target: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
     """Target rows whose key is in the batch go; the whole batch comes in."""
-    return _without_keys_of(target, batch, key).unionByName(batch.select(*target.columns))
+    return tagged.preferred(batch.select(*target.columns), target, key)
 
 
 def upsert_month(
@@ -56,21 +50,7 @@ def upsert_columns(
     target: DataFrame, updates: DataFrame, keys: Sequence[str], cols: Sequence[str]
 ) -> DataFrame:
     """As a merge, but matched rows take only the listed columns."""
-    updates = row_keys.distinct_on(updates, keys)
-    listed = set(cols)
-    side = updates.select(
-        *keys, *[F.col(c).alias(f"__new_{c}") for c in cols], F.lit(True).alias("__matched")
-    )
-    changed = target.join(side, list(keys), "left").select(
-        *[
-            F.when(F.col("__matched"), F.col(f"__new_{c}")).otherwise(F.col(c)).alias(c)
-            if c in listed
-            else F.col(c)
-            for c in target.columns
-        ]
-    )
-    added = updates.join(target.select(*keys).distinct(), list(keys), "left_anti")
-    return changed.unionByName(added.select(*target.columns))
+    return tagged.updated(target, row_keys.distinct_on(updates.select(*target.columns), keys), keys, cols)
 
 
 def reconcile(
@@ -91,19 +71,14 @@ def reconcile(
         return truth.where(F.col(ts_col).isNotNull())
     if mode != "coalesce":
         raise ValueError(f"unknown mode: {mode}")
-    shared = [c for c in truth.columns if c in other.columns and c != key]
-    side = other.select(key, *[F.col(c).alias(f"__other_{c}") for c in shared])
-    filled = truth.join(side, key, "left").select(
-        *[
-            F.coalesce(F.col(c), F.col(f"__other_{c}")).alias(c) if c in shared else F.col(c)
-            for c in truth.columns
-        ]
+    shared = [c for c in truth.columns if c in other.columns]
+    side = other.select(*[F.col(c).alias(f"__other_{c}") for c in shared])
+    # Keys are unique on both sides, so no key is hot and one full join reads each side once.
+    return (
+        truth.join(side, F.col(key) == F.col(f"__other_{key}"), "full")
+        .select(*[F.coalesce(F.col(c), F.col(f"__other_{c}")).alias(c) if c in shared else F.col(c) for c in truth.columns])
+        .where(F.col(ts_col).isNotNull())
     )
-    only_other = other.join(truth.select(key).distinct(), key, "left_anti")
-    return filled.unionByName(
-        only_other.select(*[c for c in truth.columns if c in other.columns]),
-        allowMissingColumns=True,
-    ).where(F.col(ts_col).isNotNull())
 
 
 def reconcile_loss(
