@@ -19,6 +19,14 @@ _IN_MONTH = "strftime(pickup_datetime, '%Y_%m') = '1997_12'"
 _SAME = " AND ".join(f"t.{k} = u.{k}" for k in fixed.PRIMARY_KEY)
 
 
+def _replaced(target: str, batch: str, keys) -> str:
+    """Target rows whose key the batch lacks, and the batch, by one equality join."""
+    names = ", ".join(keys)
+    return f"""SELECT t.* FROM {target} t LEFT JOIN (SELECT DISTINCT {names}, true AS hit FROM {batch}) h
+            USING ({names}) WHERE h.hit IS NULL
+        UNION ALL BY NAME SELECT * FROM {batch}"""
+
+
 def _target(spark, sf):
     return standins.fact_part(spark, sf, "yellow")
 
@@ -39,8 +47,7 @@ def _batch(spark, sf):
 
 @query(
     oracle(
-        f"""SELECT * FROM target t WHERE NOT EXISTS (SELECT 1 FROM updates u WHERE {_SAME})
-        UNION ALL SELECT * FROM updates""",
+        _replaced("target", "updates", fixed.PRIMARY_KEY),
         "fact",
         target=f"{_TARGET} AND {_IN_MONTH}",
         batch=f"SELECT * FROM ({_BATCH}) WHERE {_IN_MONTH}",
@@ -77,8 +84,7 @@ def upsert_columns(spark, sf):
 
 @query(
     oracle(
-        """SELECT * FROM target WHERE dwid NOT IN (SELECT dwid FROM updates)
-        UNION ALL SELECT * FROM updates""",
+        _replaced("target", "updates", ["dwid"]),
         "fact",
         target=_TARGET,
         batch=_BATCH,
@@ -91,8 +97,7 @@ def merge_by_key(spark, sf):
 
 @query(
     oracle(
-        """SELECT * FROM target WHERE dwid NOT IN (SELECT dwid FROM batch)
-        UNION ALL SELECT * FROM batch""",
+        _replaced("target", "batch", ["dwid"]),
         "fact",
         target=_TARGET,
         batch=_BATCH,

@@ -202,8 +202,9 @@ def oracle(body: str, *names: str, **extra: str) -> str:
 
     for name in names:
         add(name)
-    parts = [f"{n} AS ({CTES[n][1]})" for n in order]
-    parts += [f"{n} AS ({sql})" for n, sql in extra.items()]
+    # Each block is worked out once, whatever reads it.
+    parts = [f"{n} AS MATERIALIZED ({CTES[n][1]})" for n in order]
+    parts += [f"{n} AS MATERIALIZED ({sql})" for n, sql in extra.items()]
     return f"WITH {', '.join(parts)} {body}" if parts else body
 
 

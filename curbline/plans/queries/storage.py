@@ -37,10 +37,11 @@ def append_months(spark, sf):
 
 @query(
     oracle(
-        f"""SELECT *, {_YM} FROM fact WHERE cab_type = 'green' OR (cab_type = 'yellow'
-            AND strftime(pickup_datetime, '%Y_%m') NOT IN
-            (SELECT strftime(pickup_datetime, '%Y_%m') FROM fact WHERE cab_type = 'green'))""",
+        """SELECT n.* FROM numbered n LEFT JOIN again a USING (year, month)
+        WHERE n.cab_type = 'green' OR a.hit IS NULL""",
         "fact",
+        numbered=f"SELECT *, {_YM} FROM fact WHERE cab_type <> 'fhv'",
+        again="SELECT DISTINCT year, month, true AS hit FROM numbered WHERE cab_type = 'green'",
     )
 )
 def month_roundtrip(spark, sf):
