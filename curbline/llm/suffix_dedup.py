@@ -140,40 +140,74 @@ _AROUND = (
 def _around(met: DataFrame) -> DataFrame:
     """For (doc, text, later, shared): the spans repeated for certain, and the surroundings of ``shared`` anchors."""
     names = [c.split()[0] for c in _AROUND.split(",")]
-    fields = zip(names, [pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int32(), pa.int32(), pa.binary()] + [pa.int64()] * len(RANGES), strict=True)
-    schema = pa.schema(list(fields))
-
-    def rows(doc: int, data: bytes, later: np.ndarray, shared: np.ndarray) -> Iterator[dict]:
-        n = len(data)
-        if len(later):
-            starts, stops = merged(np.maximum(0, later - (SPAN - 1)), np.minimum(n, later + LENGTH))
-            yield {"doc": doc, "starts": starts, "stops": stops}
-        if not len(shared):
-            return
-        hashes = RangeHashes(np.frombuffer(data, np.uint8))
-        low, high = np.maximum(0, shared - (SPAN - 1)), np.minimum(n, shared + LENGTH)
-        cores = []
+    spans = pa.list_(pa.int32())
+
+    def certain(docs: pa.Array, sizes: np.ndarray, later: pa.ListArray) -> pa.RecordBatch:
+        rows, starts, stops = [], [], []
+        places, edges = later.flatten().to_numpy().astype(np.int64), _edges(later)
+        for row in np.flatnonzero(np.diff(edges)).tolist():
+            own = places[edges[row] : edges[row + 1]]
+            a, b = merged(np.maximum(0, own - (SPAN - 1)), np.minimum(sizes[row], own + LENGTH))
+            rows.append(row)
+            starts.append(a)
+            stops.append(b)
+        nulls = [pa.nulls(len(rows), kind) for kind in [pa.int32(), pa.int32(), pa.binary()] + [pa.int64()] * len(RANGES)]
+        found = [docs.take(pa.array(rows, pa.int64())), pa.array(starts, spans), pa.array(stops, spans)]
+        return pa.RecordBatch.from_arrays([*found, *nulls], names=names)
+
+    def surroundings(docs: pa.Array, raw: np.ndarray, marks: np.ndarray, shared: pa.ListArray) -> pa.RecordBatch:
+        row = np.repeat(np.arange(len(docs)), np.diff(_edges(shared)))
+        pos = shared.flatten().to_numpy().astype(np.int64)
+        begin, end = marks[row], marks[row + 1]
+        at = begin + pos
+        low, high = np.maximum(begin, at - (SPAN - 1)), np.minimum(end, at + LENGTH)
+        hashes, cores = RangeHashes(raw), []
         for first, last in RANGES:
-            start, stop = shared - first, shared + LENGTH - last
-            there = (start >= 0) & (stop <= n)
+            start, stop = at - first, at + LENGTH - last
+            there = (start >= begin) & (stop <= end)
             value = hashes.of(np.where(there, start, 0), np.where(there, stop, 0)).view(np.int64)
-            cores.append(list(zip(there.tolist(), value.tolist(), strict=True)))
-        for k, (pos, a, b) in enumerate(zip(shared.tolist(), low.tolist(), high.tolist(), strict=True)):
-            found = {f"core{r}": core[k][1] for r, core in enumerate(cores) if core[k][0]}
-            yield {"doc": doc, "pos": pos, "low": a, "around": data[a:b], **found}
+            cores.append(pa.array(value, mask=~there))
+        nulls = [pa.nulls(len(row), spans)] * 2
+        places = [pa.array(v.astype(np.int32)) for v in (pos, low - begin)]
+        found = [docs.take(pa.array(row)), *nulls, *places, _pieces(raw, low, high), *cores]
+        return pa.RecordBatch.from_arrays(found, names=names)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                out = []
-                for doc, text, later, shared in zip(*part.columns, strict=True):
-                    places = [np.array(x.as_py() or [], dtype=np.int64) for x in (later, shared)]
-                    out += rows(doc.as_py(), (text.as_py() or "").encode("utf-8", "surrogatepass"), *places)
-                yield pa.RecordBatch.from_pylist(out, schema)
+                raw, marks = text_bytes(part.column(1))
+                later, shared = (_filled(part.column(k)) for k in (2, 3))
+                yield certain(part.column(0), np.diff(marks), later)
+                if len(shared.flatten()):
+                    yield surroundings(part.column(0), raw, marks, shared)
 
     return met.select("doc", "text", "later", "shared").mapInArrow(work, _AROUND)
 
 
+def _filled(lists: pa.ListArray) -> pa.ListArray:
+    """NULL lists as empty ones."""
+    sizes = np.asarray(lists.value_lengths().fill_null(0), dtype=np.int32)
+    return pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), lists.flatten())
+
+
+def _edges(lists: pa.ListArray) -> np.ndarray:
+    return lists.offsets.to_numpy().astype(np.int64)
+
+
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All places of ranges, one range behind the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _pieces(raw: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> pa.Array:
+    """Ranges of a byte array as a column of bytes."""
+    sizes = stops - starts
+    edges = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    data = raw[_spread(starts, sizes)]
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(edges), pa.py_buffer(data)])
+
+
 def merged(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The union of spans, as spans that don't touch."""
     if not len(starts):
@@ -261,15 +295,15 @@ def deep_shallow(strings: np.ndarray, shallow: int = SHALLOW) -> Iterator[list[i
 def _sort_cores(rows: DataFrame) -> DataFrame:
     """Repeated strings (doc, start) among (core, doc, start, around): every string within ``around``."""
 
-    def repeats(rows: list[tuple]) -> list[tuple]:
-        flat = np.frombuffer(b"".join(r[2] for r in rows), np.uint8)
-        sizes = np.array([len(r[2]) for r in rows])
+    names = ["doc", "start"]
+
+    def repeats(rows: pa.RecordBatch) -> pa.RecordBatch:
+        flat, edges = text_bytes(rows.column(3))
+        sizes = np.diff(edges)
         counts = sizes - LENGTH + 1
-        row = np.repeat(np.arange(len(rows)), counts)
-        k = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
-        at = np.repeat(np.cumsum(sizes) - sizes, counts) + k
-        docs = np.array([r[0] for r in rows])[row]
-        starts = np.array([r[1] for r in rows])[row] + k
+        at = _spread(edges[:-1], counts)
+        docs = np.repeat(rows.column(1).to_numpy(), counts)
+        starts = _spread(rows.column(2).to_numpy().astype(np.int64), counts)
         # Each string once, in the order of the corpus; one whose hash is single has no equal.
         order = np.lexsort((starts, docs))
         docs, starts, at = docs[order], starts[order], at[order]
@@ -277,35 +311,43 @@ def _sort_cores(rows: DataFrame) -> DataFrame:
         docs, starts, at = docs[fresh], starts[fresh], at[fresh]
         _, name, often = np.unique(RangeHashes(flat).of(at, at + LENGTH), return_inverse=True, return_counts=True)
         some = np.flatnonzero(often[name] > 1)
-        if not len(some):
-            return []
-        strings = np.lib.stride_tricks.sliding_window_view(flat, LENGTH)[at[some]]
         out: list[int] = []
-        for group in deep_shallow(strings):
-            group.sort()
-            out += group[1:]
+        if len(some):
+            for group in deep_shallow(np.lib.stride_tricks.sliding_window_view(flat, LENGTH)[at[some]]):
+                group.sort()
+                out += group[1:]
         out = some[out]
-        return list(zip(docs[out].tolist(), starts[out].tolist(), strict=True))
+        return pa.RecordBatch.from_arrays([pa.array(docs[out]), pa.array(starts[out].astype(np.int32))], names=names)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("doc", pa.int64()), ("start", pa.int32())])
-        held: list[tuple] = []
-        last = None
+        # Rows of one core stay together: the last core of a part waits for the next part.
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            for core, *row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if len(held) >= CORE_ROWS and core != last:
-                    found = repeats(held)
+            for at in range(0, batch.num_rows, CORE_ROWS):
+                part = batch.slice(at, CORE_ROWS)
+                core = part.column(0).to_numpy()
+                if held and core[0] != held[-1].column(0)[-1].as_py():
+                    yield repeats(_joined(held))
                     held = []
-                    yield pa.RecordBatch.from_pylist([{"doc": d, "start": s} for d, s in found], schema)
-                held.append(tuple(row))
-                last = core
+                last = int(np.searchsorted(core, core[-1]))
+                if last:
+                    yield repeats(_joined([*held, part.slice(0, last)]))
+                    held = []
+                held.append(part.slice(last))
         if held:
-            yield pa.RecordBatch.from_pylist([{"doc": d, "start": s} for d, s in repeats(held)], schema)
+            yield repeats(_joined(held))
 
     dealt = rows.select("core", "doc", "start", "around").repartition("core").sortWithinPartitions("core")
     return dealt.mapInArrow(work, "doc long, start int")
 
 
+def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    if len(parts) == 1:
+        return parts[0]
+    columns = [pa.concat_arrays([p.column(k) for p in parts]) for k in range(parts[0].num_columns)]
+    return pa.RecordBatch.from_arrays(columns, names=parts[0].schema.names)
+
+
 def _cut(met: DataFrame) -> DataFrame:
     """The result for (doc, text, starts, stops), with spans that may overlap."""
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
