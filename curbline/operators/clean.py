@@ -182,18 +182,32 @@ def service_rules(service: str) -> dict[str, Column]:
     return fhv_rules() if service == "fhv" else metered_rules()
 
 
+def prepare_trips(df: DataFrame, service: str) -> DataFrame:
+    """What a service's rules are applied to: defaults filled, times read."""
+    if service != "fhv":
+        return df
+    return df.transform(fill_defaults, {"sr_flag": 0}).transform(
+        to_timestamps, "pickup_datetime", "dropoff_datetime"
+    )
+
+
+def valid_trips(df: DataFrame, service: str) -> DataFrame:
+    """Rows that satisfy all rules of the service."""
+    return df.where(reduce(and_, service_rules(service).values()))
+
+
+def unique_trips(df: DataFrame, service: str) -> DataFrame:
+    """Exact duplicates removed, then the flag shortened: rows that differ only in the rest of it stay."""
+    df = df.dropDuplicates()
+    if service != "fhv":
+        df = truncate_text(df, "store_and_fwd_flag", 1)
+    return df.drop("year", "month")
+
+
 def clean_trips(df: DataFrame, service: str) -> DataFrame:
     """The rule set of one service.
 
     Row filters commute with removing exact duplicates, so they come first and
-    only kept rows are shuffled. Shortening the flag comes after, because two
-    rows that differ only in the rest of the flag are both kept.
+    only kept rows are shuffled.
     """
-    if service == "fhv":
-        df = df.transform(fill_defaults, {"sr_flag": 0}).transform(
-            to_timestamps, "pickup_datetime", "dropoff_datetime"
-        )
-    df = df.where(reduce(and_, service_rules(service).values())).dropDuplicates()
-    if service != "fhv":
-        df = truncate_text(df, "store_and_fwd_flag", 1)
-    return df.drop("year", "month")
+    return df.transform(prepare_trips, service).transform(valid_trips, service).transform(unique_trips, service)

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from curbline.operators import joins, keys as row_keys, merge
+from curbline.sinks import partitions
 
 
 class QualityError(ValueError):
@@ -117,10 +119,20 @@ def check_not_empty(df: DataFrame) -> DataFrame:
 def check_partitions(
     spark: SparkSession, base: str, cols: Sequence[str] = ("year", "month")
 ) -> DataFrame:
-    """Rows per partition of a written table."""
+    """Rows per partition of a written table; see ``check_months`` for those that are not there."""
     return spark.read.parquet(base).groupBy(*cols).agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def check_months(spark: SparkSession, base: str, months: Sequence[str], schema: T.StructType | None = None) -> DataFrame:
+    """``year_month, state, row_count, violations`` for each expected month and any besides.
+
+    A month that is missing, is an empty directory, or holds files without rows is a violation.
+    """
+    found = partitions.rows_by_month(spark, base, months, schema)
+    bad = F.col("state").isin("missing", "unexpected") | (F.col("row_count") == 0)
+    return found.withColumn("violations", bad.cast("int"))
+
+
 def check_loss(df: DataFrame, ts_col: str, level: str) -> DataFrame:
     """The loss report; raises when the limit is reached."""
     report = merge.loss_report(df, ts_col, level)
@@ -143,6 +155,58 @@ def column_profile(df: DataFrame) -> DataFrame:
     return _one_pass(df, {c: F.count(c) for c in df.columns}, "column", "non_null")
 
 
+class Observed:
+    """Rules counted while rows pass by on their way to a write: no second scan.
+
+    ``watch`` a frame, write what comes of it, then ask for ``rows`` and ``broken``.
+    """
+
+    def __init__(self, rules: Mapping[str, Column]) -> None:
+        self.rules = dict(rules)
+        self._metrics = Observation()
+        self._counts: dict[str, int] = {}
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        self._frame = df
+        return df.observe(self._metrics, *self._columns())
+
+    def _columns(self) -> list[Column]:
+        broken = [F.count_if(~F.coalesce(rule, F.lit(False))) for rule in self.rules.values()]
+        return [F.count(F.lit(1)).alias("rows"), *[c.alias(f"rule {k}") for k, c in enumerate(broken)]]
+
+    def _found(self) -> dict[str, int]:
+        if not self._counts:
+            try:
+                self._counts = self._metrics.get
+            except Py4JJavaError as error:
+                if "AssertionError" not in str(error.java_exception):
+                    raise
+                # Where nothing is left to write, Spark drops the plan and what observes it: count then.
+                self._counts = self._frame.agg(*self._columns()).first().asDict()
+        return self._counts
+
+    @property
+    def rows(self) -> int:
+        return self._found().get("rows") or 0
+
+    @property
+    def broken(self) -> dict[str, int]:
+        """How many rows break each rule; a NULL breaks it."""
+        found = self._found()
+        return {name: found.get(f"rule {k}") or 0 for k, name in enumerate(self.rules)}
+
+    def require_none(self, what: str) -> None:
+        """Raise when any row broke a rule."""
+        if bad := {name: n for name, n in self.broken.items() if n}:
+            raise QualityError(f"{what}: {len(bad)} checks failed, {sum(bad.values())} violations; {bad} of {self.rows} rows")
+
+    def require_kept(self, kept: int, most_rejected: float, what: str) -> None:
+        """Raise when more than a share of the rows, or every one of them, was rejected."""
+        lost = self.rows - kept
+        if self.rows and (kept == 0 or lost > most_rejected * self.rows):
+            raise QualityError(f"{what}: {lost} of {self.rows} rows rejected; by rule {self.broken}")
+
+
 def gate(report: DataFrame, what: str) -> None:
     """Raise when a report counts violations; reports have one row per check."""
     broken = report.where("violations > 0")

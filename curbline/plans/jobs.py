@@ -1,18 +1,20 @@
 """Jobs: operators composed from landed files to summary tables.
 
 Every job takes a month range and handles all its months in one Spark plan. A
-new table image is first written beside the table, checked there, and then put
-over the touched month partitions, so a table is never read and replaced by the
-same plan and a failed check leaves it as it was.
+new table image is written once, beside the table, checked on its way there, and
+renamed into place month by month from a journal. So a table is never read and
+replaced by the same plan, a failed check leaves it as it was, and a run that is
+lost half way is finished by the next.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,7 +32,7 @@ from curbline.operators import (
 )
 from curbline.plans import lookups
 from curbline.session import remove_path, scratch_path
-from curbline.sinks import tables
+from curbline.sinks import partitions, tables
 from curbline.sources import files
 
 
@@ -51,10 +53,17 @@ def keyed_schema(service: str) -> T.StructType:
     )
 
 
+_MONTHS = ("year", "month")
+
+
 def _existing_months(
     spark: SparkSession, path: str, schema: T.StructType, first: str, last: str
 ) -> DataFrame:
-    """Stored rows in a schema that is pinned: a column that only later months have is read from those."""
+    """Stored rows in a schema that is pinned: a column that only later months have is read from those.
+
+    What a lost run left half done is put right first.
+    """
+    partitions.recover(spark, path)
     months = {"year": T.IntegerType(), "month": T.IntegerType()}
     pinned = T.StructType(
         [f for f in schema.fields if f.name not in months] + [T.StructField(n, k) for n, k in months.items()]
@@ -67,11 +76,33 @@ def _existing_months(
         raise
 
 
-def _stored_months(spark: SparkSession, path: str, first: str, last: str) -> DataFrame:
-    months = T.StructType(
-        [T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())]
-    )
-    return _existing_months(spark, path, months, first, last).distinct()
+def _stored_schema(spark: SparkSession, path: str, first: str, last: str) -> T.StructType:
+    """All columns that the months of a range have, from their footers; their types must agree."""
+    parts = partitions.in_range(partitions.Store(spark, path).partitions(_MONTHS), first, last)
+    if not parts:
+        return T.StructType()
+    groups = files.schema_groups(spark, [f"{path.rstrip('/')}/{p}" for p in parts])
+    if len(groups) > 1:
+        raise quality.QualityError(f"months of {path} store a column with different types")
+    return T.StructType([f for f in groups[0][0].fields if f.name not in _MONTHS])
+
+
+def _upserted(rows: DataFrame, path: str, first: str, last: str, key: Sequence[str]) -> DataFrame:
+    """The new image of the months, with every column that either side has.
+
+    Matched rows take the batch's columns and keep what it lacks; a column with two types stops the job.
+    """
+    spark, stored = rows.sparkSession, _stored_schema(rows.sparkSession, path, first, last)
+    known = {f.name: f.dataType for f in rows.schema.fields}
+    if clash := [f.name for f in stored.fields if known.get(f.name, f.dataType) != f.dataType]:
+        raise quality.QualityError(f"{path} stores {clash} with other types than the batch has")
+    more = [f for f in stored.fields if f.name not in known]
+    both = T.StructType([*rows.schema.fields, *more])
+    existing = _existing_months(spark, path, both, first, last)
+    batch = shape.align_schema(rows, both)
+    if more:
+        return merge.upsert_columns(existing, batch, key, [c for c in rows.columns if c not in set(key)])
+    return merge.merge_by_key(existing, batch, key)
 
 
 def publish(
@@ -82,29 +113,37 @@ def publish(
     overwrite: bool,
     key: Sequence[str] = tuple(fixed.PRIMARY_KEY),
     check: Callable[[DataFrame], None] | None = None,
+    rules: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Replace or upsert the months of a table; returns those months as stored.
 
-    A replacement replaces the whole range: a stored month for which it brings no rows is removed.
+    The new image is written once, beside the table, and its months are then renamed into place from
+    a journal. ``rules`` are counted during that write; ``check`` sees the written image. If either
+    finds a fault, the table stays as it was. A replacement replaces the whole range: a stored
+    month for which it brings no rows is removed.
     """
+    return _put(rows, path, first, last, overwrite, key, check, rules, shape.add_year_month, _MONTHS)
+
+
+def _put(rows, path, first, last, overwrite, key, check, rules, add_columns, columns) -> DataFrame:
     spark = rows.sparkSession
+    partitions.recover(spark, path)
     if not overwrite:
-        existing = _existing_months(spark, path, rows.schema, first, last)
-        rows = merge.merge_by_key(existing, rows, key)
-    beside = scratch_path(spark, "image")
-    image = tables.month_image(rows, beside)
-    if check is not None:
-        check(image)
-    stale = []
-    if overwrite:
-        stored = _stored_months(spark, path, first, last).join(
-            image.select("year", "month").distinct(), ["year", "month"], "left_anti"
-        )
-        stale = [{"year": r.year, "month": r.month} for r in stored.collect()]
-    tables.copy_months(image, path)
-    tables.drop_partitions(spark, path, stale)
-    remove_path(spark, beside)
-    return files.read_months(spark, path, first, last, image.schema)
+        rows = _upserted(rows, path, first, last, key)
+    observed = quality.Observed(rules or {})
+    pending = partitions.pending_path(path)
+    image = tables.write_image(add_columns(observed.watch(rows)), f"{pending}/image", columns)
+    try:
+        observed.require_none(path)
+        if check is not None:
+            check(image)
+    except Exception:
+        remove_path(spark, pending)
+        raise
+    stale = partitions.in_range(partitions.Store(spark, path).partitions(columns), first, last) if overwrite else []
+    partitions.put_in_place(spark, path, pending, columns, stale)
+    read = files.read_months if columns == _MONTHS else files.read_days
+    return read(spark, path, first, last, schema=image.schema)
 
 
 def ingest_dev(
@@ -116,15 +155,20 @@ def ingest_dev(
     lake: Lake,
     sample: int = 0,
     seed: int | None = None,
+    most_rejected: float = 1.0,
 ) -> DataFrame:
-    """Landed files to the cleaned development zone."""
+    """Landed files to the cleaned development zone.
+
+    Rows that break a cleaning rule are counted as they pass; when all of them, or more than the share
+    ``most_rejected``, break one, the zone stays as it was.
+    """
     profile = schemas.SERVICES[service]
     pickup = next(
         (old for old, new in profile.renames.items() if new == "pickup_datetime"),
         "pickup_datetime",
     )
     conformed = (
-        files.read_trip_files(spark, paths)
+        files.read_drifting_files(spark, paths, profile.file_schema)
         .transform(clean.in_months, pickup, first, last)
         .transform(clean.sample_each, sample, F.date_format(pickup, "yyyy_MM"), seed)
         .transform(shape.cast_to_schema, profile.file_schema)
@@ -134,17 +178,16 @@ def ingest_dev(
     problems = quality.schema_problems(conformed, profile.table_schema)
     if problems:
         raise quality.QualityError(f"{service} files: {problems}")
-    cleaned = clean.clean_trips(conformed, service)
-    dev = lake.zone("dev", service)
+    arriving, kept = quality.Observed(clean.service_rules(service)), quality.Observed({})
+    prepared = clean.prepare_trips(conformed, service)
+    valid = kept.watch(clean.valid_trips(arriving.watch(prepared), service))
     return publish(
-        cleaned,
-        dev,
+        clean.unique_trips(valid, service),
+        lake.zone("dev", service),
         first,
         last,
         overwrite=True,
-        check=lambda image: quality.gate(
-            quality.check_ranges(image, clean.service_rules(service)), f"{service} dev"
-        ),
+        check=lambda _: arriving.require_kept(kept.rows, most_rejected, f"{service} dev"),
     )
 
 
@@ -152,22 +195,14 @@ def load_stage(
     spark: SparkSession, service: str, first: str, last: str, lake: Lake, overwrite: bool = False
 ) -> DataFrame:
     """Development zone to keyed, unique rows in the stage zone."""
+    # The trips of one key are one group of the primary key, which thus is unique.
     rows = (
-        files.read_months(spark, lake.zone("dev", service), first, last)
+        _existing_months(spark, lake.zone("dev", service), schemas.SERVICES[service].table_schema, first, last)
         .transform(clean.clean_trips, service)
-        .transform(keys.dedup_by_key)
         .transform(keys.add_row_key)
+        .transform(keys.dedup_by_key, fixed.PRIMARY_KEY)
     )
-    return publish(
-        rows,
-        lake.zone("stage", service),
-        first,
-        last,
-        overwrite,
-        check=lambda image: quality.gate(
-            quality.check_unique(image, fixed.PRIMARY_KEY), f"{service} stage keys"
-        ),
-    )
+    return publish(rows, lake.zone("stage", service), first, last, overwrite)
 
 
 def publish_lakehouse(
@@ -175,18 +210,8 @@ def publish_lakehouse(
 ) -> DataFrame:
     """Stage zone to day files; days of the range that have no trips any more are removed."""
     rows = _existing_months(spark, lake.zone("stage", service), keyed_schema(service), first, last)
-    days = lake.zone("days", service)
-    day, stale = F.to_date("pickup_datetime").alias("partition_date"), []
-    stored = T.StructType([*rows.schema.fields, T.StructField("partition_date", T.DateType())])
-    try:
-        present = files.read_days(spark, days, first, last, schema=stored).select("partition_date").distinct()
-        stale = present.join(rows.select(day).distinct(), "partition_date", "left_anti").collect()
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-    tables.write_day_files(rows, days)
-    tables.drop_partitions(spark, days, [r.asDict() for r in stale])
-    return files.read_days(spark, days, first, last, schema=stored)
+    add_day = lambda df: df.withColumn("partition_date", F.to_date("pickup_datetime"))
+    return _put(rows, lake.zone("days", service), first, last, True, (), None, None, add_day, ("partition_date",))
 
 
 def publish_production(
@@ -202,6 +227,7 @@ def publish_production(
     """Day files reconciled with the stage zone to the production zone."""
     schema = keyed_schema(service)
     stored = T.StructType([*schema.fields, T.StructField("partition_date", T.DateType())])
+    partitions.recover(spark, lake.zone("days", service))
     truth = files.read_days(spark, lake.zone("days", service), first, last, schema=stored).drop("partition_date")
     other = _existing_months(spark, lake.zone("stage", service), schema, first, last)
     quality.require_loss_below_limit(merge.reconcile_loss_by_month(truth, other, level, fixed.PRIMARY_KEY))
@@ -262,9 +288,7 @@ def build_fact(
         first,
         last,
         overwrite=True,
-        check=lambda image: quality.gate(
-            quality.check_not_null(image, ["dwid", "cab_type", "payment_type"]), "fact"
-        ),
+        rules={f"{c} known": F.col(c).isNotNull() for c in ("dwid", "cab_type", "payment_type")},
     )
 
 
@@ -349,7 +373,7 @@ def reconcile_legacy(
 ) -> DataFrame:
     """Replace one production month by the unique rows of the stage month."""
     year, month = dates.parse_month(year_month)
-    view = tables.month_view(stage, f"stage_{year_month}", year, month)
+    view = tables.month_view(stage, f"stage_{year_month}_{uuid.uuid4().hex}", year, month)
     rows = keys.distinct_on(view, fixed.PRIMARY_KEY)
     return publish(rows, production, year_month, year_month, overwrite=True)
 
@@ -366,7 +390,7 @@ def direct_load(
     """Files to a keyed table by way of a CSV export, without a schema cast."""
     profile = schemas.SERVICES[service]
     rows = (
-        files.read_trip_files(spark, paths)
+        files.read_drifting_files(spark, paths)
         .transform(shape.drop_columns, *profile.drops)
         .transform(shape.rename_columns, profile.renames)
         .transform(clean.in_months, "pickup_datetime", first, last)

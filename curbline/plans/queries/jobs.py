@@ -17,7 +17,7 @@ from curbline.plans.queries.registry import (
     oracle,
     query,
 )
-from curbline.plans.queries.storage import _YM
+from curbline.plans.queries.storage import _YM, drifting_green
 from curbline.plans.queries.summarising import DAILY, FLOW, PAYMENT
 from curbline.session import scratch_path
 from curbline.sinks import tables
@@ -208,6 +208,42 @@ def job_build_summaries(spark, sf):
     return payment.unionByName(flow).unionByName(daily)
 
 
+@query(
+    oracle(
+        f"""SELECT t.* REPLACE (CASE WHEN b.dwid IS NULL THEN t.fare_amount ELSE b.fare_amount END AS fare_amount,
+                CASE WHEN b.dwid IS NULL THEN t.total_amount ELSE b.total_amount END AS total_amount),
+            CASE WHEN b.dwid IS NOT NULL THEN b.cbd_fee END AS cbd_fee, {_YM.replace("pickup", "t.pickup")}
+        FROM first t LEFT JOIN batch b USING (dwid, pickup_datetime, dropoff_datetime)
+        UNION ALL BY NAME SELECT * EXCLUDE (known), {_YM} FROM batch WHERE NOT known""",
+        "green_keyed",
+        trips=first_rows("green_keyed", fixed.PRIMARY_KEY, ["dwid", *GREEN_COLUMNS]),
+        first="SELECT * FROM trips WHERE payment_type < 5",
+        batch="""SELECT dwid, pickup_datetime, dropoff_datetime, pu_location_id, do_location_id,
+            CAST(fare_amount + 1 AS FLOAT) AS fare_amount, CAST(total_amount + 1 AS FLOAT) AS total_amount,
+            CAST(passenger_count AS DOUBLE) / 2 AS cbd_fee, payment_type < 5 AS known
+            FROM trips WHERE payment_type IN (2, 5)""",
+    )
+)
+def job_upsert_after_schema_change(spark, sf):
+    """A batch that lacks most stored columns and has a new one: nothing stored is lost."""
+    path = scratch_path(spark, "changed")
+    green = standins.keyed(spark, sf, "green").transform(keys.distinct_on, fixed.PRIMARY_KEY)
+    jobs.publish(green.where("payment_type < 5"), path, FIRST, LAST, overwrite=True)
+    batch = green.where("payment_type IN (2, 5)").selectExpr(
+        "dwid", "pickup_datetime", "dropoff_datetime", "pu_location_id", "do_location_id",
+        "CAST(fare_amount + 1 AS FLOAT) AS fare_amount", "CAST(total_amount + 1 AS FLOAT) AS total_amount",
+        "passenger_count / 2D AS cbd_fee",
+    )
+    return jobs.publish(batch, path, FIRST, LAST, overwrite=False)
+
+
+@query(oracle(f"SELECT *, {_YM} FROM ({cleaning.CLEAN_GREEN})", "green"))
+def job_ingest_drifting_files(spark, sf):
+    """The development zone from files whose types and columns differ."""
+    landed = drifting_green(spark, sf, new_column=False)
+    return jobs.ingest_dev(spark, landed, "green", FIRST, LAST, _lake(spark))
+
+
 @query(oracle(f"SELECT *, {_YM} FROM ({cleaning.CLEAN_FHV})", "fhv"))
 def job_backfill(spark, sf):
     return _dev(spark, sf, "fhv", _lake(spark))

@@ -5,9 +5,11 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from curbline import schemas
-from curbline.plans import standins
+from curbline.operators import quality, shape
+from curbline.plans import jobs, standins
 from curbline.plans.queries.registry import FHV_COLUMNS, oracle, query
 from curbline.session import scratch_path
 from curbline.sinks import tables
@@ -27,6 +29,63 @@ def read_trip_files(spark, sf):
     )
 
 
+_DRIFT = {
+    0: [],
+    # Counts as doubles, a column in another case, one that is gone.
+    1: ["CAST(passenger_count AS DOUBLE) AS passenger_count", "CAST(RatecodeID AS DOUBLE) AS ratecodeid", None],
+    # Narrower numbers, and a column that is new.
+    2: ["CAST(payment_type AS INT) AS payment_type", "CAST(trip_type AS DOUBLE) AS trip_type", "passenger_count / 2D AS cbd_fee"],
+}
+
+
+def drifting_green(spark, sf, new_column: bool = True) -> list[str]:
+    """Green trip files of three kinds, by month of the year: their types and columns differ."""
+    base, raw, month = scratch_path(spark, "drift"), standins.raw(spark, sf, "green"), F.month("lpep_pickup_datetime") % 3
+    for kind, changes in _DRIFT.items():
+        changed = {c.split(" AS ")[-1].lower(): c for c in changes if c}
+        kept = [changed.pop(c.lower(), c) for c in raw.columns if c != "congestion_surcharge" or kind != 1]
+        added = changed.values() if new_column else []
+        raw.where(month == kind).selectExpr(*kept, *added).write.parquet(f"{base}/{kind}")
+    return [f"{base}/{kind}" for kind in _DRIFT]
+
+
+@query(
+    oracle(
+        """SELECT *, CASE WHEN month(pickup_datetime) % 3 = 2 THEN CAST(passenger_count AS DOUBLE) / 2 END AS cbd_fee
+        FROM green""",
+        "green",
+    )
+)
+def read_drifting_files(spark, sf):
+    """Files whose column types, names' case and columns differ, as one table."""
+    profile = schemas.SERVICES["green"]
+    return (
+        files.read_drifting_files(spark, drifting_green(spark, sf), profile.file_schema)
+        .transform(shape.cast_to_schema, profile.file_schema)
+        .transform(shape.drop_columns, *profile.drops)
+        .transform(shape.rename_columns, profile.renames)
+    )
+
+
+@query(
+    oracle(
+        """SELECT strftime(m, '%Y_%m') AS year_month, CASE WHEN n.row_count IS NULL THEN 'missing' ELSE 'filled' END AS state,
+            coalesce(n.row_count, 0) AS row_count, CASE WHEN n.row_count IS NULL THEN 1 ELSE 0 END AS violations
+        FROM (SELECT unnest(generate_series(TIMESTAMP '1994-01-01', TIMESTAMP '1999-12-01', INTERVAL 1 MONTH)) AS m)
+            LEFT JOIN (SELECT date_trunc('month', pickup_datetime) AS at, count(*) AS row_count FROM fact
+                WHERE cab_type = 'green' GROUP BY ALL) n ON n.at = m""",
+        "fact",
+    )
+)
+def check_months(spark, sf):
+    """Every expected month of a table, with those that are missing from it."""
+    base = scratch_path(spark, "inventory")
+    trips = standins.fact_part(spark, sf, "green")
+    tables.overwrite_months(trips.where("pickup_datetime >= '1994-01-01' AND pickup_datetime < '2000-01-01'"), base)
+    stored = T.StructType([*trips.schema.fields, T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())])
+    return quality.check_months(spark, base, jobs.month_tokens("1994_01", "1999_12"), stored)
+
+
 @query(oracle(f"SELECT *, {_YM} FROM fact WHERE cab_type <> 'fhv'", "fact"))
 def append_months(spark, sf):
     base = scratch_path(spark, "append")

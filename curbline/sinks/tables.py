@@ -16,25 +16,26 @@ from pyspark.sql import types as T
 
 from curbline.functions import dates
 from curbline.operators import clean, shape
-from curbline.session import remove_path
 from curbline.sources import files
 
 MONTHS = ("year", "month")
 
 
-def _gathered(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.hint("rebalance", *[F.col(c) for c in cols])
+def _gathered(df: DataFrame, cols: Sequence[str], ts_col: str | None = None) -> DataFrame:
+    """Rows of a partition together, and in order of time: a day's filter then skips row groups."""
+    rows = df.hint("rebalance", *[F.col(c) for c in cols])
+    return rows if ts_col is None or ts_col not in df.columns else rows.sortWithinPartitions(*cols, ts_col)
 
 
 def append_months(df: DataFrame, base: str, ts_col: str = "pickup_datetime") -> None:
     """Add ``year`` and ``month`` and append to the month partitions."""
-    rows = _gathered(shape.add_year_month(df, ts_col), MONTHS)
+    rows = _gathered(shape.add_year_month(df, ts_col), MONTHS, ts_col)
     rows.write.partitionBy(*MONTHS).mode("append").parquet(base)
 
 
 def overwrite_months(df: DataFrame, base: str, ts_col: str = "pickup_datetime") -> None:
     """Replace the month partitions that occur in the frame and no others."""
-    rows = _gathered(shape.add_year_month(df, ts_col), MONTHS)
+    rows = _gathered(shape.add_year_month(df, ts_col), MONTHS, ts_col)
     (
         rows.write.partitionBy(*MONTHS)
         .option("partitionOverwriteMode", "dynamic")
@@ -43,37 +44,13 @@ def overwrite_months(df: DataFrame, base: str, ts_col: str = "pickup_datetime")
     )
 
 
-def month_image(df: DataFrame, path: str, ts_col: str = "pickup_datetime") -> DataFrame:
-    """Write month partitions to a new path and read them back, which cuts the lineage."""
-    overwrite_months(df, path, ts_col)
-    stored = T.StructType(
-        [
-            *[f for f in df.schema.fields if f.name not in MONTHS],
-            *[T.StructField(name, T.IntegerType()) for name in MONTHS],
-        ]
-    )
+def write_image(df: DataFrame, path: str, cols: Sequence[str], ts_col: str = "pickup_datetime") -> DataFrame:
+    """Write the partitions of a table image to a new path and read them back."""
+    _gathered(df, cols, ts_col).write.partitionBy(*cols).parquet(path)
+    stored = T.StructType([*[f for f in df.schema.fields if f.name not in cols], *[df.schema[c] for c in cols]])
     return df.sparkSession.read.schema(stored).parquet(path)
 
 
-def copy_months(image: DataFrame, base: str) -> None:
-    """Put the months of an image over those of a table.
-
-    The image's files hold one month each, so nothing is shuffled again.
-    """
-    (
-        image.write.partitionBy(*MONTHS)
-        .option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
-        .parquet(base)
-    )
-
-
-def drop_partitions(spark: SparkSession, base: str, parts: Sequence[Mapping[str, object]]) -> None:
-    """Remove partition directories, each given by the values of all partition columns."""
-    for part in parts:
-        remove_path(spark, "/".join([base.rstrip("/"), *[f"{name}={value}" for name, value in part.items()]]))
-
-
 def write_day_files(
     df: DataFrame, base: str, ts_col: str = "pickup_datetime", column: str = "partition_date"
 ) -> None:
@@ -81,7 +58,7 @@ def write_day_files(
 
     A day is one file unless it outgrows the advisory partition size.
     """
-    rows = _gathered(df.withColumn(column, F.to_date(ts_col)), [column])
+    rows = _gathered(df.withColumn(column, F.to_date(ts_col)), [column], ts_col)
     (
         rows.write.partitionBy(column)
         .option("partitionOverwriteMode", "dynamic")

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,6 +37,107 @@ def read_trip_files(
     return reader.parquet(*([paths] if isinstance(paths, str) else paths))
 
 
+def _merged_schema(spark: SparkSession, paths: Sequence[str]) -> T.StructType | None:
+    """The one schema of several files, from all their footers at once; None if their types differ."""
+    try:
+        return spark.read.option("mergeSchema", "true").parquet(*paths).schema
+    except PySparkException as error:
+        if error.getCondition() == "CANNOT_MERGE_SCHEMAS":
+            return None
+        raise
+    except Py4JJavaError as error:
+        # Footers are read in tasks, whose errors come back as they are.
+        if "CANNOT_MERGE_SCHEMAS" in str(error.java_exception):
+            return None
+        raise
+
+
+def leaf_files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """The Parquet files below some paths, by name; their contents aren't read."""
+    return sorted(spark.read.schema("__none int").parquet(*paths).inputFiles())
+
+
+def schema_groups(spark: SparkSession, paths: str | Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
+    """Files grouped so that every column has one physical type within a group.
+
+    One job reads all footers; if they cannot be merged, the files, by name, are halved until
+    they can. Neighbouring months mostly agree, so that takes a few jobs for each change of a type.
+    Groups with equal types for all the columns they share come together again.
+    """
+    given = [paths] if isinstance(paths, str) else list(paths)
+    schema = _merged_schema(spark, given)
+    if schema is not None:
+        return [(schema, given)]
+    found: list[tuple[T.StructType, list[str]]] = []
+    waiting = [leaf_files(spark, given)]
+    while waiting:
+        files = waiting.pop()
+        schema = _merged_schema(spark, files)
+        if schema is None:
+            middle = len(files) // 2
+            waiting += [files[middle:], files[:middle]]
+            continue
+        for k, (known, members) in enumerate(found):
+            if (both := _together(known, schema)) is not None:
+                found[k] = (both, members + files)
+                break
+        else:
+            found.append((schema, files))
+    return found
+
+
+def _together(a: T.StructType, b: T.StructType) -> T.StructType | None:
+    """All columns of two schemas, unless a shared one has two types."""
+    types = {f.name.lower(): f.dataType for f in a.fields}
+    if any(types.get(f.name.lower(), f.dataType) != f.dataType for f in b.fields):
+        return None
+    return T.StructType([*a.fields, *[f for f in b.fields if f.name.lower() not in types]])
+
+
+def _widest(kinds: Sequence[T.DataType]) -> T.DataType:
+    """The type for a column whose files disagree and that nothing declares."""
+    if all(isinstance(k, T.IntegralType) for k in kinds):
+        return T.LongType()
+    if all(isinstance(k, T.NumericType) for k in kinds):
+        return T.DoubleType()
+    if all(isinstance(k, (T.TimestampType, T.TimestampNTZType, T.DateType)) for k in kinds):
+        return T.TimestampNTZType()
+    return T.StringType()
+
+
+def read_drifting_files(
+    spark: SparkSession, paths: str | Sequence[str], declared: T.StructType | None = None
+) -> DataFrame:
+    """Files of one service whose physical types or columns changed over time, as one table.
+
+    Each group of files with the same types is scanned with its own schema. Only a column whose
+    groups disagree is cast, to its declared type or else the widest, values that do not fit
+    being NULL; filters on all others still reach every scan. A column that a group lacks
+    is NULL there. Names are matched in any case and spelt as the first group has them.
+    """
+    groups = schema_groups(spark, paths)
+    names: dict[str, str] = {}
+    kinds: dict[str, list[T.DataType]] = {}
+    for schema, _ in groups:
+        for f in schema.fields:
+            names.setdefault(f.name.lower(), f.name)
+            kinds.setdefault(f.name.lower(), [])
+            if f.dataType not in kinds[f.name.lower()]:
+                kinds[f.name.lower()].append(f.dataType)
+    wanted = {f.name.lower(): f.dataType for f in declared.fields} if declared is not None else {}
+    target = T.StructType(
+        [T.StructField(name, own[0] if len(own) == 1 else wanted.get(key) or _widest(own)) for (key, name), own in zip(names.items(), kinds.values(), strict=True)]
+    )
+    parts = []
+    for schema, files in groups:
+        spelt = T.StructType([T.StructField(names[f.name.lower()], f.dataType) for f in schema.fields])
+        parts.append(shape.align_schema(spark.read.schema(spelt).parquet(*files), target))
+    together = parts[0]
+    for part in parts[1:]:
+        together = together.unionByName(part)
+    return together
+
+
 def read_month_partition(
     spark: SparkSession, base: str, year: int, month: int, schema: T.StructType | None = None
 ) -> DataFrame:
