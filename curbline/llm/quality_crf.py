@@ -20,6 +20,7 @@ and not read by ``score``.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -29,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbline.llm.common import slices, text_bytes
+from curbline.llm.common import give_back_memory, slices, text_bytes
 from curbline.llm.words import split_words
 
 SAMPLE_DOCS = 3000
@@ -174,11 +175,22 @@ def predict(texts: pa.Array, model: Model) -> np.ndarray:
     return np.where(np.isnan(raw), model.share, score)
 
 
+def _all_lines(texts: pa.Array) -> Lines:
+    """Features of many texts, worked out slice by slice."""
+    batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+    found = [line_features(part.column(0)) for part in slices(batch, "text")]
+    if not found:
+        return line_features(texts)
+    counts = np.concatenate([np.diff(lines.marks) for lines in found])
+    marks = np.concatenate([[0], np.cumsum(counts)])
+    return Lines(np.concatenate([f.features for f in found]), np.concatenate([f.lengths for f in found]), marks)
+
+
 def fit(texts: list[str], labels: list[int]) -> Model:
     """Weights by gradient ascent on the penalised likelihood, then the curve for whole documents."""
     y = np.array(labels, dtype=np.float64)
     share = float(y.mean()) if len(y) else NO_LABELS
-    lines = line_features(pa.array(texts, pa.string()))
+    lines = _all_lines(pa.array(texts, pa.string()))
     some = np.diff(lines.marks) > 0
     if not 0 < y[some].sum() < some.sum():
         ones = np.ones(FEATURES)
@@ -220,15 +232,25 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sa
     drawn = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * sample_docs)
     short = F.size(F.split(F.coalesce("text", F.lit("")), "\n")) <= sample_lines
     # As few rows as the parameter says: safe to send to every task.
-    rows = (
+    sample = (
         docs.select("doc_id", "text")
         .join(F.broadcast(drawn), "doc_id")
         .where(short)
         .orderBy(F.xxhash64("doc_id"), "doc_id", "text")
         .limit(sample_docs)
-        .collect()
+        .select("quality", "text")
     )
-    return fit([r["text"] or "" for r in rows], [r["quality"] for r in rows])
+
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = list(batches)
+        texts = [t or "" for part in parts for t in part.column(1).to_pylist()]
+        model = fit(texts, [label for part in parts for label in part.column(0).to_pylist()])
+        give_back_memory()
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(tuple(model))], pa.binary())], names=["model"])
+
+    # The sample meets in one task; only the weights go to the driver.
+    found = sample.coalesce(1).mapInArrow(fitted, "model binary").collect()
+    return Model(*pickle.loads(found[0][0])) if found else fit([], [])
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
