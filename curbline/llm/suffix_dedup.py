@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbline.llm.common import scratch, slices, text_bytes
+from curbline.llm.common import give_back_memory, scratch, slices, text_bytes
 from curbline.llm.words import mix
 from curbline.session import remove_path
 
@@ -256,33 +256,33 @@ class BlindTrie:
                 yield node[1]
 
 
-def deep_shallow(strings: np.ndarray, shallow: int = SHALLOW) -> Iterator[list[int]]:
-    """Row numbers of equal strings (rows of bytes) that aren't single, strings in order.
+def deep_shallow(flat: np.ndarray, at: np.ndarray, shallow: int = SHALLOW, width: int = LENGTH) -> Iterator[list[int]]:
+    """Numbers of equal strings that aren't single, strings in order: the strings of ``width`` bytes of ``flat`` from ``at`` on.
 
-    The quicksort goes over all groups of a depth at once; strings alone in their group leave.
+    The quicksort goes over all groups of a depth at once, a character of eight bytes at a time; strings
+    alone in their group leave. Those that are left share ``shallow`` characters and go to blind tries.
     """
-    n, width = strings.shape
-    padded = np.zeros((n, -(-width // 8) * 8), np.uint8)
-    padded[:, :width] = strings
-    chars = padded.view(">u8")
-    rows, group = np.arange(n), np.zeros(n, np.int64)
-    for depth in range(min(shallow, chars.shape[1])):
-        values = chars[rows, depth].astype(np.uint64)
+    rows, group = np.arange(len(at)), np.zeros(len(at), np.int64)
+    for depth in range(min(shallow, -(-width // 8))):
+        own = min(8, width - 8 * depth)
+        values = np.zeros(len(rows), np.uint64)
+        for k in range(own):
+            values = (values << np.uint64(8)) | flat[at[rows] + 8 * depth + k]
         order = np.argsort(values, kind="quicksort")
         order = order[np.argsort(group[order], kind="stable")]
         rows, values, before = rows[order], values[order], group[order]
-        fresh = np.append(True, (values[1:] != values[:-1]) | (before[1:] != before[:-1]))
+        fresh = np.append(True, (values[1:] != values[:-1]) | (before[1:] != before[:-1]))[: len(rows)]
         group = np.cumsum(fresh) - 1
-        many = np.bincount(group)[group] > 1
+        many = np.bincount(group)[group] > 1 if len(rows) else np.zeros(0, bool)
         rows, group = rows[many], group[many]
         if not len(rows):
             return
-    whole = np.ascontiguousarray(strings).tobytes()
+    whole = flat.tobytes()
     edges = np.flatnonzero(np.append(True, group[1:] != group[:-1])).tolist()
-    listed = rows.tolist()
+    listed, places = rows.tolist(), at[rows].tolist()
     for low, high in zip(edges, [*edges[1:], len(listed)], strict=True):
         own = listed[low:high]
-        texts = [whole[r * width : (r + 1) * width] for r in own]
+        texts = [whole[p : p + width] for p in places[low:high]]
         if texts.count(texts[0]) == len(texts):
             yield own
             continue
@@ -304,19 +304,15 @@ def _sort_cores(rows: DataFrame) -> DataFrame:
         at = _spread(edges[:-1], counts)
         docs = np.repeat(rows.column(1).to_numpy(), counts)
         starts = _spread(rows.column(2).to_numpy().astype(np.int64), counts)
-        # Each string once, in the order of the corpus; one whose hash is single has no equal.
+        # Each string once, in the order of the corpus.
         order = np.lexsort((starts, docs))
         docs, starts, at = docs[order], starts[order], at[order]
         fresh = np.append(True, (docs[1:] != docs[:-1]) | (starts[1:] != starts[:-1]))
         docs, starts, at = docs[fresh], starts[fresh], at[fresh]
-        _, name, often = np.unique(RangeHashes(flat).of(at, at + LENGTH), return_inverse=True, return_counts=True)
-        some = np.flatnonzero(often[name] > 1)
         out: list[int] = []
-        if len(some):
-            for group in deep_shallow(np.lib.stride_tricks.sliding_window_view(flat, LENGTH)[at[some]]):
-                group.sort()
-                out += group[1:]
-        out = some[out]
+        for group in deep_shallow(flat, at):
+            group.sort()
+            out += group[1:]
         return pa.RecordBatch.from_arrays([pa.array(docs[out]), pa.array(starts[out].astype(np.int32))], names=names)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -336,6 +332,7 @@ def _sort_cores(rows: DataFrame) -> DataFrame:
                 held.append(part.slice(last))
         if held:
             yield repeats(_joined(held))
+        give_back_memory()
 
     dealt = rows.select("core", "doc", "start", "around").repartition("core").sortWithinPartitions("core")
     return dealt.mapInArrow(work, "doc long, start int")
