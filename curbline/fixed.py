@@ -173,3 +173,6 @@ HOLIDAYS = [
 
 # --- centre point used to choose among places of the same name (lat, lon) --------
 CITY_CENTRE = (40.7128, -74.0060)
+
+# Names of the days of a week, from day 1.
+DAY_NAMES = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")

@@ -8,6 +8,7 @@ from functools import reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -120,23 +121,46 @@ def truncate_text(df: DataFrame, col: str, n: int) -> DataFrame:
     return df.withColumn(col, F.substring(F.col(col), 1, n))
 
 
+#: Ranges of hash values that are counted to find where a sample ends.
+_HASH_RANGES = 4096
+
+
 def sample_to(df: DataFrame, n: int, seed: int | None = None) -> DataFrame:
-    """About ``n`` rows without replacement; everything when ``n`` is not positive."""
-    if n <= 0:
-        return df
-    rows = df.count()
-    return df if rows <= n else df.sample(withReplacement=False, fraction=n / rows, seed=seed)
+    """``n`` rows without replacement, all if there are fewer; everything when ``n`` is not positive."""
+    return sample_each(df, n, F.lit(0), seed)
 
 
 def sample_each(df: DataFrame, n: int, group: Column, seed: int | None = None) -> DataFrame:
-    """About ``n`` rows of each group, without replacement; everything when ``n`` is not positive.
+    """``n`` rows of each group without replacement, all if it has fewer; everything when ``n`` is not positive.
 
-    The groups are few, such as months: their sizes are collected.
+    A sample is the rows with the least seeded hash, so it is the same each time it is drawn, wherever the
+    rows lie. Counting the rows of each range of hashes tells in which range a group's sample ends;
+    ranges before that are taken whole, and only the rows of that one are ordered. The groups are few,
+    such as months: one row for each goes through the driver.
     """
     if n <= 0:
         return df
-    sizes = df.groupBy(group.alias("group")).count().collect()
-    return df.sampleBy(group, {r["group"]: min(1.0, n / r["count"]) for r in sizes}, seed)
+    value = F.xxhash64(F.lit(seed or 0), *df.columns)
+    # Hashes are spread evenly over all 64-bit numbers.
+    place = F.shiftrightunsigned(value, 64 - _HASH_RANGES.bit_length() + 1)
+    counts = df.groupBy(group.alias("group"), place.alias("place")).agg(F.count(F.lit(1)).alias("rows"))
+    so_far = F.sum("rows").over(W.partitionBy("group").orderBy("place"))
+    ends = (
+        counts.withColumn("before", so_far - F.col("rows"))
+        .where((F.col("before") < n) & (F.col("before") + F.col("rows") >= n))
+        .collect()
+    )
+    last, left = F.lit(_HASH_RANGES), F.lit(0).cast("long")
+    for row in ends:
+        here = group.eqNullSafe(F.lit(row["group"]))
+        last, left = F.when(here, F.lit(row["place"])).otherwise(last), F.when(here, F.lit(n - row["before"])).otherwise(left)
+    marks = {"__place": place, "__last": last, "__left": left, "__hash": value, "__group": group}
+    taken = df.select("*", *[c.alias(name) for name, c in marks.items()]).where("__place <= __last")
+    # Rows that are taken whatever their rank need no company.
+    alone = F.when(F.col("__place") < F.col("__last"), F.monotonically_increasing_id())
+    ordered = W.partitionBy("__group", "__place", "__alone").orderBy("__hash", *df.columns)
+    ranked = taken.withColumn("__alone", alone).withColumn("__rank", F.row_number().over(ordered))
+    return ranked.where("__place < __last OR __rank <= __left").select(*df.columns)
 
 
 def since_high_watermark(df: DataFrame, target: DataFrame, ts_col: str) -> DataFrame:

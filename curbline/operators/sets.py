@@ -72,10 +72,10 @@ def limit_each(
 ) -> DataFrame:
     """The first ``n`` rows of each frame, then their union.
 
-    ``coarse`` is a value with few distinct results that grows with the first
-    order column, such as its date. Counting rows per coarse value tells where
-    the ``n``-th row lies, so that only rows up to there are ordered; without it
-    every task would hand ``n`` rows to the one task that merges them.
+    ``coarse`` is a value that grows with the first order column, such as its
+    date. A sketch of it tells where the ``n``-th row lies, so that only rows up
+    to there are ordered; without it every task would hand ``n`` rows to the one
+    task that merges them.
     """
     return union_services(
         [
@@ -85,11 +85,17 @@ def limit_each(
     )
 
 
+#: The quantiles that place a cut-off, and the error of their ranks, which is far below their distance.
+_STEPS, _ACCURACY = 1000, 10_000
+
+
 def _up_to_row(df: DataFrame, n: int, coarse: Column) -> DataFrame:
-    counts = df.groupBy(coarse.alias("at")).agg(F.count(F.lit(1)).alias("rows"))
-    # One task sums the counts in order: as many rows as there are coarse values.
-    running = counts.where(F.col("at").isNotNull()).select(
-        "at", F.sum("rows").over(W.orderBy("at")).alias("so_far")
-    )
-    cutoff = running.where(F.col("so_far") >= n).agg(F.min("at").alias("at")).scalar()
+    """Rows up to a value that is sure to have ``n`` rows at or before it, and not many more.
+
+    The value comes from a quantile sketch, which every task fills and which are merged, with the
+    count in the same pass. Its ranks are at most a step too low, so the cut-off lies two steps on.
+    """
+    quantiles = F.percentile_approx(coarse, [k / _STEPS for k in range(1, _STEPS + 1)], _ACCURACY)
+    step = F.ceil(F.lit(n) * _STEPS / F.greatest(F.count(coarse), F.lit(1))) + 2
+    cutoff = df.agg(F.get(quantiles, F.least(step, F.lit(_STEPS)).cast("int") - 1).alias("at")).scalar()
     return df.where(F.coalesce(coarse <= cutoff, F.lit(True)))

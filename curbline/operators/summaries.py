@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curbline import fixed
-from curbline.functions import dates, money
+from curbline.functions import dates, geo, money
 from curbline.operators import clean, joins, sets
 
 _MEASURES = {"fare": "fare_amount", "distance": "trip_distance", "total": "total_amount"}
@@ -75,6 +75,12 @@ def zone_partials(fact: DataFrame) -> DataFrame:
     return _group_partials(fact, ["pu_location_id", "do_location_id"], ["fare", "distance"])
 
 
+def zone_partials_by_month(fact: DataFrame) -> DataFrame:
+    """Partial groups by month and zone pair, to be stored and added up over any months."""
+    month = F.trunc(F.to_date("pickup_datetime"), "month").alias("pickup_month")
+    return _group_partials(fact, [month, "pu_location_id", "do_location_id"], ["fare", "distance"])
+
+
 def payment_summary(fact: DataFrame, payment_types: DataFrame) -> DataFrame:
     """Trips and amounts by payment description, busiest first."""
     partials = _group_partials(
@@ -242,6 +248,12 @@ def _zone_summary(per_zone: DataFrame, zones: DataFrame, fk: str, suffix: str) -
     )
 
 
+def with_point(summary: DataFrame, suffix: str) -> DataFrame:
+    """A zone summary with ``point_<suffix>`` in place of its two coordinates, NULL where one is missing."""
+    lon, lat = f"longitude_{suffix}", f"latitude_{suffix}"
+    return summary.withColumn(f"point_{suffix}", geo.point(F.col(lon), F.col(lat))).drop(lon, lat)
+
+
 def flow_matrix(fact: DataFrame, zones: DataFrame) -> DataFrame:
     """Trips by pickup and dropoff borough, both known."""
     pairs = fact.groupBy("pu_location_id", "do_location_id").agg(F.count(F.lit(1)).alias("rows"))
@@ -263,20 +275,33 @@ def flow_matrix_from(partials: DataFrame, zones: DataFrame) -> DataFrame:
     )
 
 
+#: A wide matrix has at most so many columns; a lookup with more boroughs is an error.
+MOST_BOROUGHS = 500
+
+
 def flow_pivot(
     fact: DataFrame, zones: DataFrame, boroughs: Sequence[str] | None = None
 ) -> DataFrame:
     """The flow matrix with one column per dropoff borough, absent pairs 0.
 
     Column names must be known to plan a pivot; unless given they are the
-    boroughs of the lookup.
+    boroughs of the lookup, ``MOST_BOROUGHS`` at most.
     """
+    pairs = fact.groupBy("pu_location_id", "do_location_id").agg(F.count(F.lit(1)).alias("rows"))
+    return flow_pivot_from(pairs, zones, boroughs)
+
+
+def flow_pivot_from(
+    partials: DataFrame, zones: DataFrame, boroughs: Sequence[str] | None = None
+) -> DataFrame:
     if boroughs is None:
         names = zones.select("borough").where(F.col("borough").isNotNull()).distinct()
-        boroughs = sorted(row.borough for row in names.collect())
-    matrix = flow_matrix(fact, zones)
+        boroughs = sorted(row.borough for row in names.limit(MOST_BOROUGHS + 1).collect())
+    if len(boroughs) > MOST_BOROUGHS:
+        raise ValueError(f"more than {MOST_BOROUGHS} boroughs don't make a matrix")
     return (
-        matrix.groupBy("borough_pickup")
+        flow_matrix_from(partials, zones)
+        .groupBy("borough_pickup")
         .pivot("borough_dropoff", list(boroughs))
         .agg(F.sum("total_trips"))
         .na.fill(0)

@@ -292,44 +292,18 @@ def build_fact(
     )
 
 
-SUMMARIES = (
-    "payment_summary",
-    "rate_code_summary",
-    "vendor_summary",
-    "monthly_service_counts",
-    "daily_summary",
-    "pickup_zone_summary",
-    "dropoff_zone_summary",
-    "flow_matrix",
-    "time_dimension",
-)
-
+_BY_CODE = ("payment_summary", "rate_code_summary", "vendor_summary", "monthly_service_counts", "daily_summary")
+_BY_ZONE = ("pickup_zone_summary", "dropoff_zone_summary", "flow_matrix", "flow_pivot")
+SUMMARIES = (*_BY_CODE, *_BY_ZONE, "time_dimension")
+_ALL = ("0001_01", "9999_12")
 
-def summary_frames(fact: DataFrame, zones: DataFrame) -> dict[str, DataFrame]:
-    """All summaries of the fact from two scans of it, plus the time dimension.
 
-    The scans are written as two small tables of partial groups; every summary
-    adds those up.
-    """
-    spark = fact.sparkSession
-    codes = tables.write_table(summaries.code_partials(fact), scratch_path(spark, "codes"))
-    pairs = tables.write_table(summaries.zone_partials(fact), scratch_path(spark, "pairs"))
-    span = codes.agg(
-        F.year(F.min("pickup_date")).alias("start_year"),
-        F.year(F.max("pickup_date")).alias("end_year"),
-    )
-    holidays = calendar.holiday_calendar(lookups.holidays(spark), span)
-    return {
-        "payment_summary": summaries.payment_summary_from(codes, lookups.payment_types(spark)),
-        "rate_code_summary": summaries.rate_code_summary_from(codes, lookups.rate_codes(spark)),
-        "vendor_summary": summaries.vendor_summary_from(codes, lookups.vendors(spark)),
-        "monthly_service_counts": summaries.monthly_service_counts_from(codes),
-        "daily_summary": summaries.daily_summary_from(codes, holidays),
-        "pickup_zone_summary": summaries.pickup_zone_summary_from(pairs, zones),
-        "dropoff_zone_summary": summaries.dropoff_zone_summary_from(pairs, zones),
-        "flow_matrix": summaries.flow_matrix_from(pairs, zones),
-        "time_dimension": calendar.time_dimension(fact, holidays),
-    }
+def _partials(fact: DataFrame, groups: DataFrame, path: str, date_col: str, months: tuple[str, str]) -> DataFrame:
+    """Stored partial groups of all months, those of a range worked out anew."""
+    add = lambda df: shape.add_year_month(df, date_col)
+    _put(groups, path, *months, True, (), None, None, add, _MONTHS)
+    stored = T.StructType([*groups.schema.fields, *[T.StructField(n, T.IntegerType()) for n in _MONTHS]])
+    return _existing_months(fact.sparkSession, path, stored, *_ALL).drop(*_MONTHS)
 
 
 def build_summaries(
@@ -338,16 +312,52 @@ def build_summaries(
     out: str,
     which: Sequence[str] | None = None,
     csv: bool = False,
+    months: tuple[str, str] | None = None,
 ) -> dict[str, DataFrame]:
-    """Write the chosen summaries, and CSV exports of them if wanted."""
-    unknown = set(which or ()) - set(SUMMARIES)
-    if unknown:
+    """Write the chosen summaries, and CSV exports of them if wanted.
+
+    Two small tables of partial groups, by month, are kept under ``out``; a summary adds them up. With
+    ``months``, the first and the last one that changed, only those months of the fact are read
+    again. The time dimension has a row for each trip and is stored by month, too. Only what the
+    chosen summaries need is worked out.
+    """
+    wanted = tuple(which or SUMMARIES)
+    if unknown := set(wanted) - set(SUMMARIES):
         raise ValueError(f"unknown summaries: {sorted(unknown)}")
-    frames = summary_frames(fact, zones)
+    spark, touched = fact.sparkSession, months or _ALL
+    changed = fact if months is None else clean.in_months(fact, "pickup_datetime", *months)
+    frames: dict[str, DataFrame] = {}
+    if set(wanted) & {*_BY_CODE, "time_dimension"}:
+        codes = _partials(fact, summaries.code_partials(changed), f"{out}/partials/codes", "pickup_date", touched)
+        years = [F.year(f("pickup_date")).alias(n) for f, n in ((F.min, "start_year"), (F.max, "end_year"))]
+        holidays = calendar.holiday_calendar(lookups.holidays(spark), codes.agg(*years))
+        frames |= {
+            "payment_summary": summaries.payment_summary_from(codes, lookups.payment_types(spark)),
+            "rate_code_summary": summaries.rate_code_summary_from(codes, lookups.rate_codes(spark)),
+            "vendor_summary": summaries.vendor_summary_from(codes, lookups.vendors(spark)),
+            "monthly_service_counts": summaries.monthly_service_counts_from(codes),
+            "daily_summary": summaries.daily_summary_from(codes, holidays),
+        }
+    if set(wanted) & set(_BY_ZONE):
+        groups = summaries.zone_partials_by_month(changed)
+        pairs = _partials(fact, groups, f"{out}/partials/zones", "pickup_month", touched)
+        frames |= {
+            "pickup_zone_summary": summaries.pickup_zone_summary_from(pairs, zones),
+            "dropoff_zone_summary": summaries.dropoff_zone_summary_from(pairs, zones),
+            "flow_matrix": summaries.flow_matrix_from(pairs, zones),
+        }
+        if "flow_pivot" in wanted:
+            frames["flow_pivot"] = summaries.flow_pivot_from(pairs, zones)
     stored = {}
-    for name in which or SUMMARIES:
-        frames[name].write.mode("overwrite").parquet(f"{out}/{name}")
-        stored[name] = fact.sparkSession.read.parquet(f"{out}/{name}")
+    for name in wanted:
+        path = f"{out}/{name}"
+        if name == "time_dimension":
+            trips = calendar.time_dimension(changed, holidays)
+            _put(trips, path, *touched, True, (), None, None, lambda df: df, _MONTHS)
+            stored[name] = _existing_months(spark, path, trips.schema, *_ALL)
+        else:
+            frames[name].write.mode("overwrite").parquet(path)
+            stored[name] = spark.read.schema(frames[name].schema).parquet(path)
         if csv:
             tables.export_csv(stored[name], f"{out}/csv/{name}")
     return stored
@@ -404,19 +414,22 @@ def direct_load(
 def merge_from_object_store(
     spark: SparkSession,
     root: str,
-    pattern: str,
+    first: str,
+    last: str,
     file_schema: T.StructType,
     service: str,
-    target: DataFrame,
+    table: str,
+    column: str = "partitioned_date",
 ) -> DataFrame:
-    """Object-store partitions merged into a keyed table by row key.
+    """Object-store days of a range of months, merged by row key into a stored table.
 
-    Columns are taken by position, NULL numbers become 0.
+    Columns are taken by position, NULL numbers become 0. Rows of the table that the days do not
+    bring stay; returns its months as stored.
     """
     names = schemas.SERVICES[service].table_schema.names
-    found = files.read_partition_glob(spark, root, pattern, file_schema)
+    patterns = [files.month_glob(column, *dates.parse_month(m)) for m in month_tokens(first, last)]
+    found = files.read_partition_glob(spark, root, "{" + ",".join(patterns) + "}", file_schema)
     rows = shape.rename_positional(found.select(*file_schema.names), names)
     numbers = {f.name: 0 for f in rows.schema.fields if isinstance(f.dataType, T.NumericType)}
     batch = rows.transform(clean.fill_defaults, numbers).transform(keys.add_row_key)
-    return merge.merge_by_key(target, batch, ["dwid"])
-
+    return publish(batch, table, first, last, overwrite=False, key=["dwid"])

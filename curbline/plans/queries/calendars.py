@@ -99,18 +99,15 @@ def calendar_join(spark, sf):
     return joins.calendar_join(fact, _holidays(spark, fact))
 
 
-@query(
-    oracle(
-        """SELECT pickup_datetime, CAST(year(pickup_datetime) AS INTEGER) AS year,
-            CAST(month(pickup_datetime) AS INTEGER) AS month, CAST(day(pickup_datetime) AS INTEGER) AS day,
-            CAST(dayofweek(pickup_datetime) + 1 AS INTEGER) AS day_of_week,
-            dayname(pickup_datetime) AS day_name, CAST(quarter(pickup_datetime) AS INTEGER) AS quarter,
-            dayofweek(pickup_datetime) IN (0, 6) AS is_weekend, holiday_name IS NOT NULL AS holiday_flag
-        FROM fact LEFT JOIN day_names ON CAST(pickup_datetime AS DATE) = holiday_date""",
-        "fact",
-        "day_names",
-    )
-)
+TIME = """SELECT pickup_datetime, CAST(year(pickup_datetime) AS INTEGER) AS year,
+        CAST(month(pickup_datetime) AS INTEGER) AS month, CAST(day(pickup_datetime) AS INTEGER) AS day,
+        CAST(dayofweek(pickup_datetime) + 1 AS INTEGER) AS day_of_week,
+        dayname(pickup_datetime) AS day_name, CAST(quarter(pickup_datetime) AS INTEGER) AS quarter,
+        dayofweek(pickup_datetime) IN (0, 6) AS is_weekend, holiday_name IS NOT NULL AS holiday_flag
+    FROM fact LEFT JOIN day_names ON CAST(pickup_datetime AS DATE) = holiday_date"""
+
+
+@query(oracle(TIME, "fact", "day_names"))
 def time_dimension(spark, sf):
     fact = standins.fact(spark, sf)
     return calendar.time_dimension(fact, _holidays(spark, fact))

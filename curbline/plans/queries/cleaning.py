@@ -153,12 +153,13 @@ def blank_to_default(spark, sf):
 @query(
     oracle(
         """SELECT 'source' AS fact, count(*) AS n FROM fhv UNION ALL SELECT 'everything', count(*) FROM fhv
-        UNION ALL SELECT 'strays', 0 UNION ALL SELECT 'in_band', 1""",
+        UNION ALL SELECT 'strays', 0 UNION ALL SELECT 'drawn', least(1000, count(*)) FROM fhv
+        UNION ALL SELECT 'drawn ' || strftime(pickup_datetime, '%Y_%m_%d'), least(40, count(*)) FROM fhv GROUP BY 1""",
         "fhv",
     )
 )
 def sample_to(spark, sf):
-    """What holds for about 1,000 trips drawn from all: none is foreign or drawn twice, the size is in its band."""
+    """What holds for 1,000 trips drawn from all, and 40 of each day: none is foreign or drawn twice, no draw is short."""
     trips = standins.trips(spark, sf, "fhv")
     drawn = clean.sample_to(trips, 1000, seed=7)
     size = F.count(F.lit(1))
@@ -166,10 +167,12 @@ def sample_to(spark, sf):
         "source": trips.agg(size.alias("n")),
         "everything": clean.sample_to(trips, 0).agg(size.alias("n")),
         "strays": drawn.exceptAll(trips).agg(size.alias("n")),
-        "in_band": drawn.agg(size.between(800, 1200).cast("long").alias("n")),
+        "drawn": drawn.agg(size.alias("n")),
     }
     labelled = [part.select(F.lit(name).alias("fact"), "n") for name, part in parts.items()]
-    return functools.reduce(DataFrame.unionByName, labelled)
+    day = F.date_format("pickup_datetime", "yyyy_MM_dd")
+    each = clean.sample_each(trips, 40, day, seed=7).groupBy(F.concat(F.lit("drawn "), day).alias("fact")).agg(size.alias("n"))
+    return functools.reduce(DataFrame.unionByName, [*labelled, each])
 
 
 @query(

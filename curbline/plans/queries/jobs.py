@@ -18,7 +18,8 @@ from curbline.plans.queries.registry import (
     query,
 )
 from curbline.plans.queries.storage import _YM, drifting_green
-from curbline.plans.queries.summarising import DAILY, FLOW, PAYMENT
+from curbline.plans.queries.calendars import TIME
+from curbline.plans.queries.summarising import DAILY, FLOW, MONTHLY, PAYMENT, PIVOT, RATE_CODE, REGIONS, VENDOR, zone_summary
 from curbline.session import scratch_path
 from curbline.sinks import tables
 
@@ -165,47 +166,74 @@ def job_build_fact(spark, sf):
     return jobs.build_fact(spark, FIRST, LAST, lake)
 
 
+#: For each summary the texts that name a row, and its numbers.
+_OUTPUTS = {
+    "payment_summary": (PAYMENT, ["payment_type_description"], ["total_trips", "total_fare", "avg_total_amount", "green_cab_trips"]),
+    "rate_code_summary": (RATE_CODE, ["rate_code_description"], ["total_trips", "avg_fare", "avg_distance", "yellow_cab_trips"]),
+    "vendor_summary": (VENDOR, ["vendor_name", "cab_type"], ["total_trips", "total_fare", "avg_fare", "avg_distance"]),
+    "monthly_service_counts": (MONTHLY, ["cab_type"], ["year", "month", "total_trips"]),
+    "daily_summary": (DAILY, ["holiday_name"], ["year", "month", "day", "total_trips", "total_fare", "total_distance", "avg_total_amount"]),
+    "pickup_zone_summary": (zone_summary("pu_location_id", "pickup"), ["borough_pickup", "zone_pickup"], ["pu_location_id", "total_trips", "avg_fare", "avg_distance"]),
+    "dropoff_zone_summary": (zone_summary("do_location_id", "dropoff"), ["borough_dropoff", "zone_dropoff"], ["do_location_id", "total_trips", "avg_fare", "avg_distance"]),
+    "flow_matrix": (FLOW.format(fact="fact"), ["borough_pickup", "borough_dropoff"], ["total_trips"]),
+    "flow_pivot": (PIVOT, ["borough_pickup"], [f'"{r}"' for r in REGIONS]),
+    "time_dimension": (
+        TIME,
+        ["day_name"],
+        ["year", "month", "day", "day_of_week", "quarter", "CAST(is_weekend AS INT)", "CAST(holiday_flag AS INT)"],
+    ),
+}
+
+
+def _one_table(sources: dict[str, str], quote: str) -> str:
+    """All summaries as rows of two texts and up to seven numbers; equal rows are counted."""
+    arms = []
+    for name, (_, texts, numbers) in _OUTPUTS.items():
+        labels = [*texts, *["NULL"] * (2 - len(texts))]
+        values = [f"CAST({n.replace(chr(34), quote)} AS DOUBLE)" for n in numbers] + ["NULL"] * (7 - len(numbers))
+        columns = [f"CAST({c} AS STRING) AS label{k}" for k, c in enumerate(labels)]
+        columns += [f"CAST({c} AS DOUBLE) AS n{k}" for k, c in enumerate(values)]
+        arms.append(f"SELECT '{name}' AS summary, {', '.join(columns)} FROM {sources[name]}")
+    return f"SELECT *, count(*) AS copies FROM ({' UNION ALL '.join(arms)}) GROUP BY ALL"
+
+
+_TEN = _one_table({name: f"({sql})" for name, (sql, *_) in _OUTPUTS.items()}, '"')
+_TEN_NEEDS = ["zones", "payment_types", "rate_codes", "vendors"]
+
+
+def _as_one_table(spark, stored):
+    assert set(stored) == set(_OUTPUTS)
+    frames = {f"s{k}": stored[name] for k, name in enumerate(_OUTPUTS)}
+    sql = _one_table({name: f"{{s{k}}}" for k, name in enumerate(_OUTPUTS)}, "`")
+    return spark.sql(sql, **frames)
+
+
+@query(oracle(_TEN, "fact", "day_names", *_TEN_NEEDS))
+def job_build_summaries(spark, sf):
+    """All ten summaries."""
+    fact = tables.write_table(standins.fact(spark, sf), scratch_path(spark, "fact"))
+    return _as_one_table(spark, jobs.build_summaries(fact, standins.zones(spark, sf), scratch_path(spark, "out"), csv=True))
+
+
+_CHANGED = "SELECT * FROM fact WHERE cab_type <> 'yellow' OR strftime(pickup_datetime, '%Y_%m') <> '1997_12'"
+
+
 @query(
     oracle(
-        f"""SELECT * FROM (
-        SELECT 'payment' AS summary, payment_type_description AS label, CAST(NULL AS VARCHAR) AS label2,
-            total_trips, avg_fare FROM ({PAYMENT})
-        UNION ALL SELECT 'flow', borough_pickup, borough_dropoff, total_trips, NULL FROM ({FLOW.format(fact='fact')})
-        UNION ALL SELECT 'daily', printf('%04d-%02d-%02d', year, month, day), holiday_name, total_trips, avg_fare
-            FROM ({DAILY}))""",
+        _TEN.replace("FROM fact", "FROM later").replace("fact f", "later f"),
         "fact",
-        "payment_types",
-        "zones",
         "day_names",
+        *_TEN_NEEDS,
+        later=_CHANGED,
     )
 )
-def job_build_summaries(spark, sf):
-    fact = tables.write_table(standins.fact(spark, sf), scratch_path(spark, "fact"))
-    stored = jobs.build_summaries(
-        fact, standins.zones(spark, sf), scratch_path(spark, "out"), csv=True
-    )
-    payment = stored["payment_summary"].select(
-        F.lit("payment").alias("summary"),
-        F.col("payment_type_description").alias("label"),
-        F.lit(None).cast("string").alias("label2"),
-        "total_trips",
-        "avg_fare",
-    )
-    flow = stored["flow_matrix"].select(
-        F.lit("flow").alias("summary"),
-        F.col("borough_pickup").alias("label"),
-        F.col("borough_dropoff").alias("label2"),
-        "total_trips",
-        F.lit(None).cast("double").alias("avg_fare"),
-    )
-    daily = stored["daily_summary"].select(
-        F.lit("daily").alias("summary"),
-        F.format_string("%04d-%02d-%02d", "year", "month", "day").alias("label"),
-        F.col("holiday_name").alias("label2"),
-        "total_trips",
-        "avg_fare",
-    )
-    return payment.unionByName(flow).unionByName(daily)
+def job_refresh_summaries(spark, sf):
+    """All ten summaries again, after the yellow trips of one month were removed: only that month is read."""
+    fact, out = tables.write_table(standins.fact(spark, sf), scratch_path(spark, "fact")), scratch_path(spark, "out")
+    zones = standins.zones(spark, sf)
+    jobs.build_summaries(fact, zones, out)
+    gone = (F.col("cab_type") == "yellow") & (F.date_format("pickup_datetime", "yyyy_MM") == "1997_12")
+    return _as_one_table(spark, jobs.build_summaries(fact.where(~gone), zones, out, months=("1997_12", "1997_12")))
 
 
 @query(
@@ -293,8 +321,9 @@ _FILLED = """SELECT * REPLACE (coalesce(pu_location_id, 0) AS pu_location_id, co
 
 @query(
     oracle(
-        """SELECT * FROM target WHERE dwid NOT IN (SELECT dwid FROM updates)
-        UNION ALL SELECT * FROM updates""",
+        f"""SELECT t.*, {_YM.replace("pickup", "t.pickup")} FROM target t
+            LEFT JOIN (SELECT dwid, true AS hit FROM updates) u USING (dwid) WHERE u.hit IS NULL
+        UNION ALL BY NAME SELECT *, {_YM} FROM updates""",
         "fhv_keyed",
         target="SELECT * REPLACE ('before' AS dispatching_base_num) FROM fhv_keyed",
         batch=f"SELECT {_KEY}, * FROM ({_FILLED})",
@@ -302,14 +331,13 @@ _FILLED = """SELECT * REPLACE (coalesce(pu_location_id, 0) AS pu_location_id, co
     )
 )
 def job_merge_from_object_store(spark, sf):
-    root = scratch_path(spark, "store")
+    """Months of day partitions merged into a stored table."""
+    root, table = scratch_path(spark, "store"), scratch_path(spark, "merged")
     trips = standins.trips(spark, sf, "fhv")
     tables.write_by_date(trips.toDF(*[f"c{i}" for i in range(len(trips.columns))]), root, "c1")
     file_schema = T.StructType(
         [T.StructField(f"c{i}", f.dataType) for i, f in enumerate(trips.schema.fields)]
     )
-    target = trips.transform(keys.add_row_key).withColumn("dispatching_base_num", F.lit("before"))
-    return jobs.merge_from_object_store(
-        spark, root, "partitioned_date=2024-01-*", file_schema, "fhv", target
-    )
-
+    before = trips.transform(keys.add_row_key).withColumn("dispatching_base_num", F.lit("before"))
+    tables.overwrite_months(before, table)
+    return jobs.merge_from_object_store(spark, root, "2023_12", "2024_12", file_schema, "fhv", table)

@@ -98,6 +98,22 @@ def dropoff_zone_summary(spark, sf):
     return summaries.dropoff_zone_summary(standins.fact(spark, sf), standins.zones(spark, sf))
 
 
+_POINTS = "SELECT * EXCLUDE (longitude_{0}, latitude_{0}), CASE WHEN latitude_{0} IS NOT NULL THEN longitude_{0} END AS lon, CASE WHEN longitude_{0} IS NOT NULL THEN latitude_{0} END AS lat FROM ({1})"
+
+
+@query(oracle(_POINTS.format("pickup", zone_summary("pu_location_id", "pickup")), "fact", "zones"))
+def pickup_zone_points(spark, sf):
+    """The pickup summary with a point for its zones."""
+    found = summaries.with_point(summaries.pickup_zone_summary(standins.fact(spark, sf), standins.zones(spark, sf)), "pickup")
+    return found.select("*", "point_pickup.lon", "point_pickup.lat").drop("point_pickup")
+
+
+@query(oracle(_POINTS.format("dropoff", zone_summary("do_location_id", "dropoff")), "fact", "zones"))
+def dropoff_zone_points(spark, sf):
+    found = summaries.with_point(summaries.dropoff_zone_summary(standins.fact(spark, sf), standins.zones(spark, sf)), "dropoff")
+    return found.select("*", "point_dropoff.lon", "point_dropoff.lat").drop("point_dropoff")
+
+
 @query(oracle(FLOW.format(fact="yellow"), "yellow", "zones"))
 def flow_matrix(spark, sf):
     return summaries.flow_matrix(standins.trips(spark, sf, "yellow"), standins.zones(spark, sf))
@@ -108,23 +124,20 @@ def flow_matrix_all_services(spark, sf):
     return summaries.flow_matrix(standins.fact(spark, sf), standins.zones(spark, sf))
 
 
-_REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 
 
-@query(
-    oracle(
-        "SELECT borough_pickup, "
-        + ", ".join(
-            f"CAST(coalesce(sum(total_trips) FILTER (WHERE borough_dropoff = '{r}'), 0) AS BIGINT)"
-            f' AS "{r}"'
-            for r in _REGIONS
-        )
-        + " FROM flows GROUP BY 1",
-        "fact",
-        "zones",
-        flows=FLOW.format(fact="fact"),
+PIVOT = (
+    "SELECT borough_pickup, "
+    + ", ".join(
+        f"CAST(coalesce(sum(total_trips) FILTER (WHERE borough_dropoff = '{r}'), 0) AS BIGINT)" f' AS "{r}"'
+        for r in REGIONS
     )
+    + f" FROM ({FLOW.format(fact='fact')}) GROUP BY 1"
 )
+
+
+@query(oracle(PIVOT, "fact", "zones"))
 def flow_pivot(spark, sf):
     return summaries.flow_pivot(standins.fact(spark, sf), standins.zones(spark, sf))
 

@@ -148,3 +148,25 @@ def test_empty_input(spark, frame):
     empty = frame(TRIP)
     assert clean.clean_trips(empty, "green").count() == 0
     assert clean.clean_trips(empty.withColumn("sr_flag", F.lit(0)), "fhv").count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 7, 25, 199, 200, 1000])
+def test_samples_are_exact_and_the_same_each_time(spark, frame, rows, n):
+    # A third of the rows are copies of one.
+    values = [(k % 3, 0 if k % 3 == 0 else k) for k in range(600)]
+    df = frame("g int, v int", *values)
+    for parts in (1, 5):
+        drawn = clean.sample_each(df.repartition(parts), n, F.col("g"), 4)
+        counts = {r["g"]: r["count"] for r in drawn.groupBy("g").count().collect()}
+        assert counts == dict.fromkeys(range(3), min(n, 200))
+        assert rows(drawn) == rows(clean.sample_each(df, n, F.col("g"), 4))
+    assert set(rows(drawn)) <= set(values)
+    if n == 25:
+        assert rows(clean.sample_each(df, n, F.col("g"), 5)) != rows(drawn)
+    assert clean.sample_to(df, n, 4).count() == min(n, 600)
+
+
+def test_samples_of_no_rows_and_null_groups(frame):
+    df = frame("g int, v int", *[(None, k) for k in range(30)], *[(1, k) for k in range(3)])
+    assert clean.sample_each(df, 5, F.col("g")).groupBy("g").count().orderBy("g").collect() == [(None, 5), (1, 3)]
+    assert clean.sample_to(df.where("v > 99"), 5).count() == 0
