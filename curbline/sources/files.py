@@ -138,16 +138,27 @@ def read_drifting_files(
     return together
 
 
+def _table(spark: SparkSession, base: str, schema: T.StructType | None) -> DataFrame:
+    """A partitioned table in a pinned schema.
+
+    Unless it is given, that is the one all footers agree on, not one file's: columns that only some
+    partitions have are kept, and a column with two types is an error.
+    """
+    pinned = schema if schema is not None else _merged_schema(spark, [base])
+    if pinned is None:
+        raise ValueError(f"the files of {base} store a column with different types: give a schema")
+    return spark.read.schema(pinned).parquet(base)
+
+
 def read_month_partition(
     spark: SparkSession, base: str, year: int, month: int, schema: T.StructType | None = None
 ) -> DataFrame:
     """One ``year=/month=`` partition; raises when it is absent or empty.
 
-    The schema is read once and pinned, so every file is read alike.
+    The schema is pinned, so every file is read alike: the given one, or the one of all footers.
     """
     try:
-        pinned = schema or spark.read.parquet(base).schema
-        table = spark.read.schema(pinned).parquet(base)
+        table = _table(spark, base, schema)
     except AnalysisException as error:
         if _is_missing(error):
             raise FileNotFoundError(f"no Parquet table at {base}") from error
@@ -164,16 +175,21 @@ def read_months(
     """The ``year=/month=`` partitions from one ``yyyy_MM`` month to another."""
     (y0, m0), (y1, m1) = dates.parse_month(first), dates.parse_month(last)
     number = F.col("year") * 12 + F.col("month")
-    table = read_trip_files(spark, base, schema)
+    table = _table(spark, base, schema)
     return table.where((number >= y0 * 12 + m0) & (number <= y1 * 12 + m1))
 
 
 def read_day_partitions(
-    spark: SparkSession, base: str, year: int, month: int, column: str = "partition_date"
+    spark: SparkSession,
+    base: str,
+    year: int,
+    month: int,
+    column: str = "partition_date",
+    schema: T.StructType | None = None,
 ) -> DataFrame:
     """All day partitions of a month that exist."""
     token = f"{year:04d}_{month:02d}"
-    return read_days(spark, base, token, token, column)
+    return read_days(spark, base, token, token, column, schema)
 
 
 def read_days(
@@ -188,7 +204,7 @@ def read_days(
     start = dates.month_start(*dates.parse_month(first)).date()
     end = dates.month_after(*dates.parse_month(last)).date()
     day = F.col(column).cast("date")
-    return read_trip_files(spark, base, schema).where((day >= F.lit(start)) & (day < F.lit(end)))
+    return _table(spark, base, schema).where((day >= F.lit(start)) & (day < F.lit(end)))
 
 
 def read_partition_glob(
@@ -229,7 +245,7 @@ def load_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table, or no rows of the given schema when there is none."""
     try:
-        return shape.align_schema(spark.read.parquet(path), schema)
+        return shape.align_schema(read_drifting_files(spark, path, schema), schema)
     except AnalysisException as error:
         if _is_missing(error):
             return shape.empty_frame(spark, schema)

@@ -100,28 +100,40 @@ def writer_count(rows: int, batch_size: int) -> int:
     return max(1, math.ceil(rows / batch_size))
 
 
+def spread(
+    df: DataFrame,
+    keys: Sequence[str],
+    batch_size: int,
+    rows: int | None = None,
+    max_writers: int | None = None,
+) -> DataFrame:
+    """Rows dealt to the tasks that write them, by the whole key, which is unique: no task gets a hot share.
+
+    A task has about one batch if the number of ``rows`` is known. Otherwise Spark sizes the tasks by the
+    bytes that it has shuffled, and nothing is counted first. ``max_writers`` is for databases that
+    take few connections; by default the session's cores are the limit.
+    """
+    columns = [F.col(k) for k in keys]
+    if rows is None and max_writers is None:
+        return df.hint("rebalance", *columns)
+    total = df.count() if rows is None else rows
+    writers = writer_count(total, batch_size)
+    return df.repartition(writers if max_writers is None else min(writers, max_writers), *columns)
+
+
 def write_jdbc(
     df: DataFrame,
     url: str,
     table: str,
     mode: str = "append",
     batch_size: int = 10000,
-    max_writers: int = 64,
+    max_writers: int | None = None,
     keys: Sequence[str] = tuple(fixed.PRIMARY_KEY),
     rows: int | None = None,
     extra: Mapping[str, str] | None = None,
 ) -> None:
-    """Write a table in batches from several tasks.
-
-    Rows are spread by the whole key, which is unique, so no task gets a hot
-    share. ``max_writers`` bounds the open connections, not the rows. Give
-    ``rows`` when the row count is known; otherwise the frame is counted first.
-    """
+    """Write a table in batches from several tasks (see ``spread``)."""
     if mode not in ("append", "overwrite"):
         raise ValueError(f"unknown mode: {mode}")
-    total = df.count() if rows is None else rows
-    writers = min(writer_count(total, batch_size), max_writers)
     options = {**table_options(url, table, extra), "batchsize": str(batch_size)}
-    df.repartition(writers, *[F.col(k) for k in keys]).write.format("jdbc").options(
-        **options
-    ).mode(mode).save()
+    spread(df, keys, batch_size, rows, max_writers).write.format("jdbc").options(**options).mode(mode).save()

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from curbline.plans import jobs
 from curbline.session import scratch_path
-from curbline.sources import files
+from curbline.sources import files, jdbc
 
 
 @pytest.fixture
@@ -68,3 +68,25 @@ def test_ingest_takes_drifting_files(spark, frame):
     lake = jobs.Lake(scratch_path(spark, "lake"))
     dev = jobs.ingest_dev(spark, [f"{base}/1", f"{base}/2"], "fhv", "2024_01", "2024_02", lake)
     assert sorted((r.pickup_datetime.month, r.pu_location_id, r.sr_flag) for r in dev.collect()) == [(1, 1, 1), (2, 1, 0)]
+
+
+def test_stored_tables_are_read_with_all_their_columns(spark):
+    base = scratch_path(spark, "stored")
+    spark.range(3).selectExpr("id").write.parquet(f"{base}/year=2024/month=1")
+    spark.range(3).selectExpr("id", "'x' AS later").write.parquet(f"{base}/year=2024/month=2")
+    found = files.read_months(spark, base, "2024_01", "2024_02")
+    assert sorted(r.later or "" for r in found.collect()) == ["", "", "", "x", "x", "x"]
+    assert files.read_month_partition(spark, base, 2024, 2).columns == ["id", "later", "year", "month"]
+    spark.range(3).selectExpr("CAST(id AS STRING) AS id").write.parquet(f"{base}/year=2024/month=3")
+    with pytest.raises(ValueError, match="different types"):
+        files.read_months(spark, base, "2024_01", "2024_03")
+    wanted = T.StructType.fromDDL("id int, later string, never double")
+    assert sorted(r.id for r in files.read_or_empty(spark, base, wanted).collect()) == [0, 0, 0, 1, 1, 1, 2, 2, 2]
+
+
+def test_writers_are_sized_without_counting(spark, monkeypatch):
+    df = spark.range(1000).withColumn("k", F.col("id") % 7)
+    plan = jdbc.spread(df, ["id"], 10)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions" in plan
+    assert jdbc.spread(df, ["id"], 10, rows=1000).rdd.getNumPartitions() == 100
+    assert jdbc.spread(df, ["id"], 10, max_writers=4).rdd.getNumPartitions() == 4
