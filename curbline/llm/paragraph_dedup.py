@@ -1,8 +1,8 @@
 """Repeated passages, also with small edits, by MinHash banding of paragraphs.
 
-1. *Paragraphs.* A line is a paragraph; one of more than ``LINE_WORDS`` words is cut where the hash of two
-   neighbouring words is the least within ``REACH`` words on both sides. Cuts depend on the words around
-   them alone, so a passage is cut alike wherever it stands.
+1. *Paragraphs.* A line is a paragraph, whatever its length. One of more than ``LINE_WORDS`` words is also cut
+   into pieces, each a paragraph, where the hash of two neighbouring words is the least within ``REACH`` words on both
+   sides. Cuts depend on the words around them alone, so a passage is cut alike wherever it stands.
 2. *Bands.* Paragraphs with equal words are one node. The MinHash signature of a node's word shingles is cut into
    ``BANDS`` bands of ``ROWS`` values: two nodes of similarity s collide in one with probability
    1 - (1 - s^ROWS)^BANDS, 0.96 at 0.75 and 0.99 at 0.85.
@@ -11,7 +11,8 @@
    compared within itself, in salted blocks of about ``BLOCK_NODES``: pairs of different components that share one of
    the shingles of which similar sets must share one are verified too. So every colliding pair is verified or connected.
 4. *Clusters* are the components of the verified links. The earliest paragraph of a cluster (smallest id, then first
-   word) stays; later ones repeat. Neighbouring repeats of ``RUN_WORDS`` words or more in all are removed.
+   word, then fewest words) stays, and so does what overlaps it; later ones repeat. Neighbouring or overlapping repeats
+   that cover ``RUN_WORDS`` words or more in all are removed.
 
 A band that very many nodes share is an aggregate with map-side combining, joined back by key, so it is never
 gathered; neither are the places of a paragraph that very many documents hold.
@@ -56,11 +57,11 @@ def _least_near(values: np.ndarray, reach: int) -> np.ndarray:
     return values == least
 
 
-def paragraphs(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes of all texts, the marks of the texts in words, and the marks of their paragraphs."""
+def paragraphs(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Word hashes of all texts, the marks of the texts in words, and those of their lines and of their pieces."""
     words, marks = word_hashes(texts)
     if not len(words):
-        return words, marks, np.zeros(1, np.int64)
+        return words, marks, np.zeros(1, np.int64), np.zeros(1, np.int64)
     raw, ends = text_bytes(texts)
     blank = np.isin(raw, np.frombuffer(b" \t\n\v\f\r", np.uint8))
     first = ~blank
@@ -74,7 +75,7 @@ def paragraphs(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     line = np.searchsorted(lines, cuts, side="right") - 1
     line = np.minimum(line, len(lines) - 2)
     cuts = cuts[lines[line + 1] - lines[line] > LINE_WORDS]
-    return words, marks, np.unique(np.concatenate([lines, cuts]))
+    return words, marks, lines, np.unique(np.concatenate([lines, cuts]))
 
 
 def _places(docs: DataFrame) -> DataFrame:
@@ -86,31 +87,35 @@ def _places(docs: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                words, marks, edges = paragraphs(part.column(1))
-                hashes, bounds = shingle_hashes(words, edges)
-                long = np.diff(edges) >= LEAST_WORDS
-                if not long.any():
-                    continue
-                node = _paragraph_hashes(words, edges)
-                keys = []
-                for band in range(BANDS):
-                    key = np.full(len(node), band + 1, np.uint64)
-                    for seed in _SEEDS[band * ROWS : (band + 1) * ROWS]:
-                        key = mix(key + np.minimum.reduceat(hashes * seed, bounds[:-1]))
-                    keys.append(key)
-                at = edges[:-1][long]
-                doc = np.searchsorted(marks, at, side="right") - 1
-                flat = np.stack(keys, axis=1)[long].ravel().view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0).take(pa.array(doc)),
-                        pa.array((at - marks[doc]).astype(np.int32)),
-                        pa.array(np.diff(edges)[long].astype(np.int32)),
-                        pa.array(node[long].view(np.int64)),
-                        pa.FixedSizeListArray.from_arrays(pa.array(flat), BANDS).cast(pa.list_(pa.int64())),
-                    ],
-                    names=schema.names,
-                )
+                words, marks, lines, pieces = paragraphs(part.column(1))
+                # Lines that aren't cut are among the pieces.
+                for edges, least in ((pieces, LEAST_WORDS), (lines, LINE_WORDS + 1)):
+                    long = np.diff(edges) >= least
+                    if long.any():
+                        yield placed(part.column(0), words, marks, edges, long)
+
+    def placed(docs: pa.Array, words: np.ndarray, marks: np.ndarray, edges: np.ndarray, long: np.ndarray) -> pa.RecordBatch:
+        hashes, bounds = shingle_hashes(words, edges)
+        node = _paragraph_hashes(words, edges)
+        keys = []
+        for band in range(BANDS):
+            key = np.full(len(node), band + 1, np.uint64)
+            for seed in _SEEDS[band * ROWS : (band + 1) * ROWS]:
+                key = mix(key + np.minimum.reduceat(hashes * seed, bounds[:-1]))
+            keys.append(key)
+        at = edges[:-1][long]
+        doc = np.searchsorted(marks, at, side="right") - 1
+        flat = np.stack(keys, axis=1)[long].ravel().view(np.int64)
+        return pa.RecordBatch.from_arrays(
+            [
+                docs.take(pa.array(doc)),
+                pa.array((at - marks[doc]).astype(np.int32)),
+                pa.array(np.diff(edges)[long].astype(np.int32)),
+                pa.array(node[long].view(np.int64)),
+                pa.FixedSizeListArray.from_arrays(pa.array(flat), BANDS).cast(pa.list_(pa.int64())),
+            ],
+            names=schema.names,
+        )
 
     return docs.mapInArrow(work, "doc long, first int, words int, node long, keys array<long>")
 
@@ -255,14 +260,15 @@ def _runs(listed: DataFrame, run_words: int) -> DataFrame:
             rows = []
             for doc, repeats in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 run: list[dict] = []
-                for r in [*sorted(repeats, key=lambda r: r["first"]), None]:
-                    if r and run and r["first"] <= run[-1]["first"] + run[-1]["words"]:
+                end = 0
+                for r in [*sorted(repeats, key=lambda r: (r["first"], -r["words"])), None]:
+                    if r and run and r["first"] <= end:
                         run.append(r)
-                        continue
-                    total = sum(x["words"] for x in run)
-                    if total >= run_words:
-                        rows.append((doc, run[0]["first"], total, len(run), run[0]["kept"]))
-                    run = [r] if r else []
+                    else:
+                        if run and end - run[0]["first"] >= run_words:
+                            rows.append((doc, run[0]["first"], end - run[0]["first"], len(run), run[0]["kept"]))
+                        run, end = ([r], 0) if r else ([], 0)
+                    end = max(end, r["first"] + r["words"]) if r else 0
             columns = list(zip(*rows, strict=True)) or [[]] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
@@ -304,9 +310,11 @@ def repeated_passages(
         remove_path(df.sparkSession, path)
     links = links.union(more)
     named = slim.join(connected_components(links), "node", "left").withColumn("cluster", F.coalesce("component", "node"))
-    place = F.struct("doc", "first")
+    place = F.struct("doc", "first", "words")
     first = named.groupBy("cluster").agg(F.min(place).alias("kept"), F.max(place).alias("last")).where(F.col("kept") != F.col("last"))
-    later = named.join(first.select("cluster", "kept"), "cluster").where(place > F.col("kept"))
+    # A line and a piece of it may be alike: what overlaps the paragraph that stays is no repeat.
+    within = (F.col("doc") == F.col("kept.doc")) & (F.col("first") < F.col("kept.first") + F.col("kept.words"))
+    later = named.join(first.select("cluster", "kept"), "cluster").where((place > F.col("kept")) & ~within)
     listed = later.groupBy("doc").agg(
         F.collect_set(F.struct("first", "words", F.col("kept.doc").alias("kept"))).alias("repeats")
     )

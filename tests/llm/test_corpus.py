@@ -128,6 +128,35 @@ def test_every_colliding_pair_is_compared(spark, block, monkeypatch):
     assert {(r["doc_id"], r["kept_doc_id"]) for r in found} == want
 
 
+def test_edited_lines_of_any_length_are_removed_whole(spark):
+    rng = np.random.default_rng(8)
+    words = lambda n: [f"v{w}" for w in rng.integers(0, 50_000, n)]
+    shingles = lambda ws: {tuple(ws[k : k + 5]) for k in range(len(ws) - 4)}
+    rows, sizes = [], {}
+    for size, edits in ((25, 0), (30, 1), (40, 1), (60, 1), (80, 2), (100, 2), (150, 4), (200, 5)):
+        for _ in range(60):
+            line, doc = words(size), 2 * len(sizes)
+            copy = list(line)
+            for k in range(edits):
+                copy[(2 * k + 1) * size // (2 * edits)] = "edited"
+            if size == 30:
+                copy = [*line[:-2], "edited", "end"]
+            assert 4 * len(shingles(line) & shingles(copy)) >= 3 * len(shingles(line) | shingles(copy))
+            rows += [(doc, "\n".join(" ".join(x) for x in (words(30), line, words(40)))), (doc + 1, "\n".join(" ".join(x) for x in (words(50), copy)))]
+            sizes[doc + 1] = size
+    found = {r["doc_id"]: r for r in paragraph_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert set(found) <= set(sizes)
+    for size in set(sizes.values()):
+        whole = [found[d]["first_word"] == 50 and found[d]["n_words"] == size for d, n in sizes.items() if n == size and d in found]
+        assert sum(whole) >= 0.9 * 60, (size, sum(whole))
+
+
+def test_a_line_does_not_repeat_its_own_piece(spark):
+    rng = np.random.default_rng(9)
+    rows = [(k, " ".join(f"v{w}" for w in rng.integers(0, 5000, n))) for k, n in enumerate(rng.integers(25, 32, 600).tolist())]
+    assert paragraph_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).count() == 0
+
+
 # ---------------------------------------------------------------- op2
 
 
