@@ -373,5 +373,8 @@ def jaccard_classes(
     return rows.join(by_set, "digest", "left").select(
         "doc_id",
         "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
+        # A NULL id links with nothing, though an equal text may have a class.
+        F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component"))
+        .otherwise(F.col("doc_id"))
+        .alias("component_id"),
     )

@@ -358,6 +358,13 @@ def test_components(spark):
     assert {r["node"]: r["component"] for r in found.collect()} == {**{k: 0 for k in range(31)}, 98: 98, 99: 98, 100: 98}
 
 
+def test_rows_without_an_id_have_no_class(spark):
+    text = " ".join(f"w{k}" for k in range(30))
+    df = spark.createDataFrame([(2, text), (None, text), (3, text), (None, "")], "doc_id long, text string")
+    rows = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_join.jaccard_classes(df).collect()), key=str)
+    assert rows == [(2, 26, 2), (3, 26, 2), (None, 0, None), (None, 26, None)]
+
+
 # ---------------------------------------------------------------- op8
 
 
