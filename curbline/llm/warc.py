@@ -250,6 +250,8 @@ def write_warc(decided: DataFrame, path: str, records_per_file: int = RECORDS_PE
         ("WARC-Target-URI", F.col("uri")),
         ("WARC-IP-Address", F.col("ip")),
         ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), "digest")),
+        # A revisit has no payload that could be measured.
+        (LENGTH_FIELD, F.when(revisit, F.length("payload").cast("string"))),
         ("WARC-Profile", F.when(revisit, REVISIT_PROFILE)),
         ("WARC-Refers-To", named(first["record_id"])),
         ("WARC-Refers-To-Target-URI", first["uri"]),
@@ -273,10 +275,16 @@ def read_warc(stream: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
         while (line := stream.readline()).strip():
             name, _, value = line.decode("utf-8", "replace").partition(":")
             fields[name.strip().lower()] = value.strip()
-        block = stream.read(int(fields["content-length"]))
+        size = int(fields["content-length"])
+        block = stream.read(size)
+        if len(block) < size:
+            raise ValueError(f"{fields.get('warc-record-id')} declares {size} bytes, {len(block)} are left")
         yield fields, block
 
 
+#: Of a revisit: how many bytes the payload has that it refers to.
+LENGTH_FIELD = "WARC-Payload-Length"
+
 _RECORDS = (
     "record_id string, record_type string, uri string, date string, page_id long, payload_bytes long,"
     " payload_digest string, refers_to_id string, intact boolean"
@@ -284,7 +292,10 @@ _RECORDS = (
 
 
 def read_warcs(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record under ``path``; ``intact``: the block has the digest it declares."""
+    """One row per record under ``path``; ``intact``: the block has the digest it declares.
+
+    ``payload_bytes`` of a revisit is what its record says, or its HTTP header; NULL where neither does.
+    """
     names = [c.split()[0] for c in _RECORDS.split(", ")]
     kinds = {"string": pa.string(), "long": pa.int64(), "boolean": pa.bool_()}
     schema = pa.schema([pa.field(n, kinds[k]) for n, k in (c.split() for c in _RECORDS.split(", "))])
@@ -293,7 +304,9 @@ def read_warcs(spark: SparkSession, path: str) -> DataFrame:
         head, payload = split_http(block)
         page, digest = _header(head, PAGE_HEADER), fields["warc-payload-digest"].removeprefix("sha1:")
         revisit = fields["warc-type"] == "revisit"
-        size = int(_header(head, "Content-Length") or 0) if revisit else len(payload)
+        told = [fields.get(LENGTH_FIELD.lower()), _header(head, "Content-Length")]
+        known = next((int(n) for n in told if n is not None and n.isdecimal()), None)
+        size = known if revisit else len(payload)
         values = (
             fields["warc-record-id"].strip("<>"),
             fields["warc-type"],

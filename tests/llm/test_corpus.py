@@ -394,6 +394,29 @@ def test_arc_header_lines():
         list(warc.read_arc(io.BytesIO(data[:-3])))
 
 
+def test_archives_of_all_pages_equal_brute_force(spark):
+    rows = connect(SF_DIR).execute("SELECT page_id, html FROM pages").fetchall()
+    payloads = {page: (html or "").encode() for page, html in rows}
+    best: dict = {}
+    for page, payload in payloads.items():
+        best[payload] = max(page, best.get(payload, page))
+    want = set()
+    for page, payload in payloads.items():
+        digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
+        first = best[payload] == page
+        want.add((page, len(payload), digest, "response" if first else "revisit", None if first else best[payload]))
+    found = queries.op8_warc(spark, SF_DIR).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()
+    assert len(found) == len(rows) and {tuple(r) for r in found} == want
+
+
+def test_sizes_of_foreign_revisits_and_cut_records():
+    head = b"WARC/1.1\r\nWARC-Record-ID: <urn:uuid:1>\r\nContent-Length: "
+    ((fields, block),) = warc.read_warc(io.BytesIO(head + b"5\r\n\r\nabcde\r\n\r\n"))
+    assert block == b"abcde" and fields["warc-record-id"] == "<urn:uuid:1>"
+    with pytest.raises(ValueError, match="declares 9 bytes, 5 are left"):
+        list(warc.read_warc(io.BytesIO(head + b"9\r\n\r\nabcde")))
+
+
 # ---------------------------------------------------------------- op9
 
 
