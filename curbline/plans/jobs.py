@@ -13,7 +13,6 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,12 +67,9 @@ def _existing_months(
     pinned = T.StructType(
         [f for f in schema.fields if f.name not in months] + [T.StructField(n, k) for n, k in months.items()]
     )
-    try:
-        return shape.align_schema(files.read_months(spark, path, first, last, pinned), schema)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return shape.empty_frame(spark, schema)
-        raise
+    if not partitions.Store(spark, path).partitions(_MONTHS):
+        return shape.empty_frame(spark, schema)
+    return shape.align_schema(files.read_months(spark, path, first, last, pinned), schema)
 
 
 def _stored_schema(spark: SparkSession, path: str, first: str, last: str) -> T.StructType:

@@ -13,6 +13,7 @@ from curbline.plans.queries.registry import (
     FACT_COLUMNS,
     FHV_COLUMNS,
     GREEN_COLUMNS,
+    YELLOW_COLUMNS,
     first_rows,
     oracle,
     query,
@@ -79,6 +80,19 @@ def job_load_stage(spark, sf):
     return jobs.load_stage(spark, "green", FIRST, LAST, lake)
 
 
+@query(
+    oracle(
+        f"SELECT {_KEY}, *, {_YM} FROM staged",
+        "yellow",
+        **_staged(f"SELECT DISTINCT * FROM ({cleaning.CLEAN_YELLOW})", YELLOW_COLUMNS),
+    )
+)
+def job_load_stage_yellow(spark, sf):
+    lake = _lake(spark)
+    _dev(spark, sf, "yellow", lake)
+    return jobs.load_stage(spark, "yellow", FIRST, LAST, lake)
+
+
 _FHV_STAGED = _staged(cleaning.CLEAN_FHV, FHV_COLUMNS)
 
 

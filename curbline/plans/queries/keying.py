@@ -15,12 +15,9 @@ from curbline.plans.queries.registry import (
     query,
 )
 
-_FOUR = ["pu_location_id", "do_location_id", "payment_type", "vendor_id"]
-
-
-@query(oracle(f"SELECT DISTINCT {', '.join(_FOUR)} FROM yellow", "yellow"))
+@query(oracle("SELECT DISTINCT * FROM yellow", "yellow"))
 def distinct_rows(spark, sf):
-    return keys.distinct_rows(standins.trips(spark, sf, "yellow").select(*_FOUR))
+    return keys.distinct_rows(standins.trips(spark, sf, "yellow"))
 
 
 @query(oracle(first_rows("yellow", fixed.TRIP_KEY, YELLOW_COLUMNS), "yellow"))

@@ -126,7 +126,9 @@ def read_month_partition(spark, sf):
 def day_files_roundtrip(spark, sf):
     base = scratch_path(spark, "days")
     tables.write_day_files(standins.trips(spark, sf, "fhv"), base)
-    return files.read_day_partitions(spark, base, 2024, 1)
+    january = files.read_day_partitions(spark, base, 2024, 1)
+    rest = [files.read_days(spark, base, first, last) for first, last in (("2000_01", "2023_12"), ("2024_02", "2040_12"))]
+    return january.unionByName(rest[0]).unionByName(rest[1])
 
 
 @query(oracle("SELECT *, CAST(pickup_datetime AS DATE) AS partitioned_date FROM fhv", "fhv"))
@@ -158,17 +160,14 @@ def write_missing_dates(spark, sf):
 
 @query(oracle(f"SELECT {', '.join(FHV_COLUMNS)} FROM fhv", "fhv"))
 def partition_glob_roundtrip(spark, sf):
-    """A month of object-store partitions, and a month that has none."""
+    """All months of object-store partitions, one glob for each, and a year that has none."""
     base = scratch_path(spark, "glob")
     trips = standins.trips(spark, sf, "fhv")
     tables.write_by_date(trips, base)
-    found = [
-        files.read_partition_glob(
-            spark, base, files.month_glob("partitioned_date", 2024, month), trips.schema
-        )
-        for month in (1, 2)
-    ]
-    return found[0].select(*trips.columns).unionByName(found[1])
+    globs = [files.month_glob("partitioned_date", year, month) for year in (2023, 2024, 2025) for month in range(1, 13)]
+    found = files.read_partition_glob(spark, base, "{" + ",".join(globs) + "}", trips.schema)
+    none = files.read_partition_glob(spark, base, files.month_glob("partitioned_date", 1970, 1), trips.schema)
+    return found.select(*trips.columns).unionByName(none)
 
 
 @query(
@@ -232,12 +231,12 @@ def partition_catalog(spark, sf):
     return tables.partition_catalog(standins.fact(spark, sf), "fact")
 
 
-@query(oracle("SELECT vendor_id, fare_amount, pickup_datetime FROM yellow", "yellow"))
+@query(oracle("SELECT * FROM yellow", "yellow"))
 def schema_ddl(spark, sf):
     """The generated column list creates a table that takes the rows."""
-    rows = standins.trips(spark, sf, "yellow").select("vendor_id", "fare_amount", "pickup_datetime")
+    rows = standins.trips(spark, sf, "yellow")
     ddl = tables.schema_ddl(rows, "trips")
-    columns = ddl[ddl.index("(") + 1 : -1].replace("TIMESTAMP", "TIMESTAMP_NTZ")
+    columns = ddl[ddl.index("(") + 1 : -1].replace("TIMESTAMP", "TIMESTAMP_NTZ").replace("VARCHAR", "STRING")
     path = scratch_path(spark, "ddl")
     rows.write.parquet(path)
     names = [part.split()[0] for part in columns.split(", ")]
