@@ -140,7 +140,8 @@ def _shingles(met: DataFrame) -> DataFrame:
                     for place in listed:
                         own = words[start + place["first"] : start + place["first"] + place["words"]]
                         nodes.append(place["node"])
-                        sets.append(np.unique(shingle_hashes(own, np.array([0, len(own)]))[0]).view(np.int64))
+                        # In the order of signed numbers, in which all later steps read them.
+                        sets.append(np.unique(shingle_hashes(own, np.array([0, len(own)]))[0].view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(nodes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"]
                 )
@@ -148,13 +149,20 @@ def _shingles(met: DataFrame) -> DataFrame:
     return met.select("text", "listed").mapInArrow(work, "node long, shingles array<long>")
 
 
+def _sets(column: pa.Array) -> list[np.ndarray]:
+    """The sorted shingles of every row."""
+    edges = np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy())]).tolist()
+    flat = column.flatten().to_numpy()
+    return [flat[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+
+
 def _verified(pairs: DataFrame, percent: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             near = []
-            for a, b in zip(batch.column(2), batch.column(3), strict=True):
-                a, b = (np.sort(x.values.to_numpy().view(np.uint64)) for x in (a, b))
-                both = common(a, b)
+            for a, b in zip(_sets(batch.column(2)), _sets(batch.column(3)), strict=True):
+                # Sets whose sizes are too far apart can't be similar.
+                both = common(a, b) if 100 * min(len(a), len(b)) >= percent * max(len(a), len(b)) else 0
                 near.append(100 * both >= percent * (len(a) + len(b) - both))
             yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
 
@@ -189,7 +197,10 @@ def _open_members(collisions: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _near_in_groups(group: np.ndarray, own: np.ndarray, head: np.ndarray, sets: list[np.ndarray], one_block: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Rows of one group but of different heads whose sets are similar; of different blocks unless ``one_block``."""
+    """Similar rows of one group but of different heads; of different blocks unless ``one_block``.
+
+    Heads that rows found before have connected need no other link: there are fewer links than rows.
+    """
     # The least shingles of two sets as similar as this share one, if as many are left out as must be common, less one.
     sizes = np.array([len(s) for s in sets])
     firsts = sizes - -(-percent * sizes // 100) + 1
@@ -202,18 +213,33 @@ def _near_in_groups(group: np.ndarray, own: np.ndarray, head: np.ndarray, sets:
     edges = np.append(np.flatnonzero(new), len(row))
     tried: set[tuple[int, int]] = set()
     out = []
+    names, place = np.unique(head, return_inverse=True)
+    parent = list(range(len(names)))
+    place = place.tolist()
+
+    def root(row: int) -> int:
+        k = place[row]
+        while parent[k] != k:
+            parent[k] = parent[parent[k]]
+            k = parent[k]
+        return k
+
     for k in np.flatnonzero(np.diff(edges) > 1):
         rows = np.sort(row[edges[k] : edges[k + 1]])
+        if len({root(r) for r in rows.tolist()}) == 1:
+            continue
         a, b = (rows[x] for x in np.triu_indices(len(rows), 1))
         apart = (head[a] != head[b]) & (one_block[a] | (own[a] != own[b]))
         apart &= 100 * np.minimum(sizes[a], sizes[b]) >= percent * np.maximum(sizes[a], sizes[b])
         for i, j in zip(a[apart].tolist(), b[apart].tolist(), strict=True):
-            if (i, j) in tried:
+            one, other = root(i), root(j)
+            if one == other or (i, j) in tried:
                 continue
             tried.add((i, j))
             both = common(sets[i], sets[j])
             if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
                 out.append((i, j))
+                parent[other] = one
     return out
 
 
@@ -226,7 +252,7 @@ def _verified_in_blocks(members: DataFrame, percent: int) -> DataFrame:
 
         def links(part: pa.Table) -> pa.RecordBatch:
             key, lo, hi, own, head, node = (part.column(k).to_numpy() for k in range(6))
-            sets = [np.sort(s.values.to_numpy().view(np.uint64)) for s in part.column(6)]
+            sets = _sets(part.column(6).combine_chunks())
             group = np.cumsum(np.concatenate([[0], (key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])]))
             near = np.array(_near_in_groups(group, own, head, sets, lo == hi, percent), np.int64).reshape(-1, 2)
             return pa.RecordBatch.from_arrays([pa.array(node[near[:, 0]]), pa.array(node[near[:, 1]])], names=["a", "b"])
