@@ -162,10 +162,14 @@ def remove_repeated_runs(
     met = df.select(*[F.col(f"`{c}`") for c in kept], *own).join(
         hit, F.col("_ld_id").eqNullSafe(F.col("_ld_id2")) & (F.col("_ld_text") == F.col("_ld_text2")), "left"
     )
-    # Numbers of the lines that aren't blank; texts that keep all of theirs aren't taken apart.
-    lines = met.withColumn("_ld_lines", F.split(text, "\n", -1)).withColumn(
-        "_ld_at",
-        F.filter(F.sequence(F.lit(0), F.size("_ld_lines") - 1), lambda i: _trimmed(F.col("_ld_lines")[i]) != ""),
+    # Numbers of the lines that aren't blank. Nothing but the line itself is looked at for each: a filter on the
+    # counts is pushed below the split, and must not repeat it line by line.
+    marked = F.transform(F.split(text, "\n", -1), lambda line, i: F.struct(i.alias("i"), (_trimmed(line) != "").alias("full")))
+    lines = met.withColumns(
+        {
+            "_ld_lines": F.split(text, "\n", -1),
+            "_ld_at": F.transform(F.filter(marked, lambda x: x["full"]), lambda x: x["i"]),
+        }
     )
     every = F.sequence(F.lit(0), F.size("_ld_lines") - 1)
     gone = F.transform("_ld_gone", lambda p: F.col("_ld_at")[p])
