@@ -44,6 +44,8 @@ PERCENT = 75
 RUN_WORDS = 20
 #: Nodes of one band that are compared with each other in one task.
 BLOCK_NODES = 256
+#: Words whose shingles are sorted at once.
+SET_WORDS = 1 << 16
 _NO_ID = -(1 << 63)
 _SEEDS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -128,6 +130,24 @@ def _paragraph_hashes(words: np.ndarray, edges: np.ndarray) -> np.ndarray:
     return mix(np.add.reduceat(words * odd, edges[:-1]) + sizes.astype(np.uint64))
 
 
+def _distinct_shingles(words: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of each range of words, every one once and in the order of signed numbers, in which all later
+    steps read them; and the marks of the ranges.
+    """
+    marks = np.concatenate([[0], np.cumsum(size)])
+    at = np.arange(marks[-1]) + np.repeat(start - marks[:-1], size)
+    hashes, edges = shingle_hashes(words[at], marks)
+    # Small numbers are sorted in linear time.
+    numbers = np.arange(len(size), dtype=np.uint16 if len(size) < 1 << 16 else np.int64)
+    hashes, row = hashes.view(np.int64), np.repeat(numbers, np.diff(edges))
+    order = np.argsort(hashes)
+    order = order[np.argsort(row[order], kind="stable")]
+    hashes, row = hashes[order], row[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (row[1:] != row[:-1])
+    return hashes[new], np.concatenate([[0], np.cumsum(np.bincount(row[new], minlength=len(size)))])
+
+
 def _shingles(met: DataFrame) -> DataFrame:
     """(node, shingles) of the paragraphs listed with each text."""
 
@@ -135,16 +155,20 @@ def _shingles(met: DataFrame) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "text"):
                 words, marks = word_hashes(part.column(0))
-                nodes, sets = [], []
-                for start, listed in zip(marks[:-1].tolist(), part.column(1).to_pylist(), strict=True):
-                    for place in listed:
-                        own = words[start + place["first"] : start + place["first"] + place["words"]]
-                        nodes.append(place["node"])
-                        # In the order of signed numbers, in which all later steps read them.
-                        sets.append(np.unique(shingle_hashes(own, np.array([0, len(own)]))[0].view(np.int64)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(nodes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"]
-                )
+                listed = part.column(1)
+                first, size, node = (listed.flatten().field(k).to_numpy().astype(np.int64) for k in range(3))
+                # An id with two texts has places that only one of them holds.
+                start = np.minimum(first + np.repeat(marks[:-1], listed.value_lengths().to_numpy()), len(words))
+                size = np.minimum(start + size, len(words)) - start
+                # As many paragraphs at once as hold about this many words.
+                block = (np.cumsum(size) - size) // SET_WORDS
+                edges = np.append(np.flatnonzero(np.diff(block, prepend=-1)), len(size)).tolist()
+                for a, b in zip(edges[:-1], edges[1:], strict=True):
+                    flat, ends = _distinct_shingles(words, start[a:b], size[a:b])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(node[a:b]), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))],
+                        names=["node", "shingles"],
+                    )
 
     return met.select("text", "listed").mapInArrow(work, "node long, shingles array<long>")
 

@@ -128,6 +128,29 @@ def test_every_colliding_pair_is_compared(spark, block, monkeypatch):
     assert {(r["doc_id"], r["kept_doc_id"]) for r in found} == want
 
 
+def test_shingles_of_many_paragraphs_at_once(spark, monkeypatch):
+    """As the set of each paragraph by itself, whatever is sorted together; a place past the text is cut."""
+    from curbline.llm.words import shingle_hashes, word_hashes
+
+    texts = [" ".join(f"w{(k * k + d) % 13}" for k in range(40 * d)) for d in range(5)]
+    words, marks = word_hashes(pa.array(texts))
+    places = [(d, first, size) for d in range(1, 5) for first, size in ((0, 40 * d), (3, 9), (5, 2), (1, 30))] + [(4, 150, 40)]
+    alone = []
+    for d, first, size in places:
+        own = words[marks[d] + first : marks[d] + first + size]
+        alone.append(np.unique(shingle_hashes(own, np.array([0, len(own)]))[0].view(np.int64)).tolist())
+    start = np.array([marks[d] + first for d, first, _ in places])
+    size = np.minimum(start + [p[2] for p in places], len(words)) - start
+    flat, ends = paragraph_dedup._distinct_shingles(words, start, size)
+    assert [flat[a:b].tolist() for a, b in zip(ends[:-1], ends[1:], strict=True)] == alone
+    listed = [(texts[d], [(f, n, k) for k, (e, f, n) in enumerate(places) if e == d]) for d in range(5)]
+    met = spark.createDataFrame(listed, "text string, listed array<struct<first int, words int, node long>>").coalesce(1)
+    for together in (1, 50, 1 << 16):
+        monkeypatch.setattr(paragraph_dedup, "SET_WORDS", together)
+        found = {r["node"]: r["shingles"] for r in paragraph_dedup._shingles(met).collect()}
+        assert [found[k] for k in range(len(places))] == alone
+
+
 def test_edited_lines_of_any_length_are_removed_whole(spark):
     rng = np.random.default_rng(8)
     words = lambda n: [f"v{w}" for w in rng.integers(0, 50_000, n)]
