@@ -302,6 +302,21 @@ def test_leaks_against_brute_force(spark):
     assert left == {d for d, _ in docs} - {d for d, _ in found}
 
 
+def test_only_texts_with_enough_of_an_items_words_are_aligned(spark, monkeypatch):
+    """One word many times over is no more of an item than the item has of it; what is found stays."""
+    words = [f"w{k}" for k in range(40)]
+    # Half of the item's words, one of them often, and the item itself.
+    texts = [" ".join(words[:20] + [words[0]] * 5), "before " + " ".join(words) + " after"]
+    others = [" ".join(f"x{k * d % 97}" for k in range(50)) for d in range(30)]
+    docs = spark.createDataFrame(list(enumerate(texts + others)), "doc_id long, text string")
+    bench = spark.createDataFrame([(7, " ".join(words))], "item_id long, text string")
+    indexes = decontaminate.build_indexes(docs, next(decontaminate.read_items(bench)))
+    aligned, lcs = [], decontaminate.lcs
+    monkeypatch.setattr(decontaminate, "lcs", lambda a, b: aligned.append(len(b)) or lcs(a, b))
+    assert decontaminate.search(pa.array(texts[:1]), indexes) == [] and aligned == []
+    assert [(m.doc, m.item_id, m.lcs_share) for m in decontaminate.search(pa.array(texts), indexes)] == [(1, 7, 1.0)]
+
+
 @pytest.mark.parametrize("n_items,n_words", [(224, 640), (1, 20000)])
 def test_long_items_are_found(spark, n_items, n_words):
     rng = np.random.default_rng(7)
