@@ -222,7 +222,11 @@ def valid_trips(df: DataFrame, service: str) -> DataFrame:
 
 def unique_trips(df: DataFrame, service: str) -> DataFrame:
     """Exact duplicates removed, then the flag shortened: rows that differ only in the rest of it stay."""
-    df = df.dropDuplicates()
+    return shortened(df.dropDuplicates(), service)
+
+
+def shortened(df: DataFrame, service: str) -> DataFrame:
+    """The columns of cleaned trips, the flag shortened."""
     if service != "fhv":
         df = truncate_text(df, "store_and_fwd_flag", 1)
     return df.drop("year", "month")

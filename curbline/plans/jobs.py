@@ -88,7 +88,11 @@ def _upserted(rows: DataFrame, path: str, first: str, last: str, key: Sequence[s
 
     Matched rows take the batch's columns and keep what it lacks; a column with two types stops the job.
     """
-    spark, stored = rows.sparkSession, _stored_schema(rows.sparkSession, path, first, last)
+    spark = rows.sparkSession
+    if not partitions.in_range(partitions.Store(spark, path).partitions(_MONTHS), first, last):
+        # Nothing to merge with. A batch that was brought together by this key is not shuffled again.
+        return keys.distinct_on(rows, key)
+    stored = _stored_schema(spark, path, first, last)
     known = {f.name: f.dataType for f in rows.schema.fields}
     if clash := [f.name for f in stored.fields if known.get(f.name, f.dataType) != f.dataType]:
         raise quality.QualityError(f"{path} stores {clash} with other types than the batch has")
@@ -191,10 +195,13 @@ def load_stage(
     spark: SparkSession, service: str, first: str, last: str, lake: Lake, overwrite: bool = False
 ) -> DataFrame:
     """Development zone to keyed, unique rows in the stage zone."""
-    # The trips of one key are one group of the primary key, which thus is unique.
+    # The trips of one key are one group of the primary key, which thus is unique. Choosing one of them
+    # leaves no exact duplicates, so these need no shuffle of their own.
     rows = (
         _existing_months(spark, lake.zone("dev", service), schemas.SERVICES[service].table_schema, first, last)
-        .transform(clean.clean_trips, service)
+        .transform(clean.prepare_trips, service)
+        .transform(clean.valid_trips, service)
+        .transform(clean.shortened, service)
         .transform(keys.add_row_key)
         .transform(keys.dedup_by_key, fixed.PRIMARY_KEY)
     )

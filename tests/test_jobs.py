@@ -6,9 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from curbline import schemas
-from curbline.operators import clean, merge, quality
-from curbline.plans import jobs
+from curbline import fixed, schemas
+from curbline.operators import clean, keys, merge, quality
+from curbline.plans import jobs, standins
 from curbline.session import scratch_path
 from curbline.sinks import tables
 
@@ -166,3 +166,27 @@ def test_an_upsert_keeps_columns_that_only_some_months_have(spark, lake, newer_f
     wanted = T.StructType.fromDDL("k int, ts timestamp_ntz, extra string")
     found = jobs._existing_months(spark, path, wanted, "2024_01", "2024_02")
     assert {(r.k, r.extra) for r in found.collect()} == {(1, "keep"), (2, None)}
+
+
+def test_a_first_load_brings_rows_together_once(spark, tmp_path):
+    """Nothing is stored yet: one shuffle by key serves unique rows and the merge, and repeats count as one."""
+    schema = jobs.keyed_schema("fhv")
+    row = {f.name: None for f in schema.fields} | {"dwid": "a", "pickup_datetime": datetime(2023, 1, 2), "dropoff_datetime": datetime(2023, 1, 3)}
+    values = [{**row, "sr_flag": 2}, {**row, "sr_flag": 1}, {**row, "sr_flag": 1}, {**row, "dwid": None}, {**row, "dwid": None}]
+    rows = spark.createDataFrame([tuple(v[f.name] for f in schema.fields) for v in values], schema)
+    unique = keys.dedup_by_key(rows, fixed.PRIMARY_KEY)
+    merged = jobs._upserted(unique, str(tmp_path / "stage"), "2023_01", "2023_01", fixed.PRIMARY_KEY)
+    assert merged._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    again = jobs._upserted(rows, str(tmp_path / "stage"), "2023_01", "2023_01", fixed.PRIMARY_KEY)
+    assert sorted(str(r["dwid"]) + str(r["sr_flag"]) for r in again.collect()) == ["None" * 2, "a1"]
+
+
+def test_stage_rows_need_no_removal_of_copies_first(spark, tmp_path, monkeypatch):
+    """Exact copies, and rows that differ in the cut part of the flag only, are one trip of the stage."""
+    lake, service = jobs.Lake(str(tmp_path)), "green"
+    trips = standins.trips(spark, "/root/testdata/sf0.001", service).transform(clean.clean_trips, service)
+    tables.overwrite_months(trips.union(trips), lake.zone("dev", service))
+    wanted = keys.dedup_by_key(keys.add_row_key(trips), fixed.PRIMARY_KEY)
+    monkeypatch.setattr(clean, "unique_trips", None)
+    found = jobs.load_stage(spark, service, "1990_01", "2030_12", lake).drop("year", "month")
+    assert found.count() == wanted.count() > 0 and found.exceptAll(wanted).count() == 0
