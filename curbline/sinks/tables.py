@@ -19,6 +19,8 @@ from curbline.operators import clean, shape
 from curbline.sources import files
 
 MONTHS = ("year", "month")
+#: Stored tables are read more than once and hold hashes, of which Snappy saves nothing.
+PARQUET = {"compression": "zstd"}
 
 
 def _gathered(df: DataFrame, cols: Sequence[str], ts_col: str | None = None) -> DataFrame:
@@ -46,7 +48,7 @@ def overwrite_months(df: DataFrame, base: str, ts_col: str = "pickup_datetime")
 
 def write_image(df: DataFrame, path: str, cols: Sequence[str], ts_col: str = "pickup_datetime") -> DataFrame:
     """Write the partitions of a table image to a new path and read them back."""
-    _gathered(df, cols, ts_col).write.partitionBy(*cols).parquet(path)
+    _gathered(df, cols, ts_col).write.partitionBy(*cols).options(**PARQUET).parquet(path)
     stored = T.StructType([*[f for f in df.schema.fields if f.name not in cols], *[df.schema[c] for c in cols]])
     return df.sparkSession.read.schema(stored).parquet(path)
 
@@ -92,7 +94,7 @@ def write_missing_dates(df: DataFrame, root: str, date_col: str) -> None:
 
 def write_table(df: DataFrame, path: str) -> DataFrame:
     """Write an intermediate table and read it back, which cuts the lineage."""
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").options(**PARQUET).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

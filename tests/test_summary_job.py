@@ -92,3 +92,19 @@ def test_ordered_limits_are_exact_without_a_window(spark, n):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan and "percentile_approx" in plan
     assert found.collect() == df.orderBy("at", "k").limit(n).collect()
+
+
+def test_a_refresh_reads_the_fact_once(spark, fact, zones, monkeypatch):
+    """Codes, zones and times of the changed months come from one read of the fact, however it is stored."""
+    out = scratch_path(spark, "out")
+    jobs.build_summaries(fact, zones, out)
+    seen = spark.sparkContext.accumulator(0)
+    read = F.udf(lambda k: seen.add(1) or k)
+    counted = fact.withColumn("dwid", read("dwid"))
+    sources = []
+    monkeypatch.setattr(summaries, "code_partials", lambda df, own=summaries.code_partials: sources.append(df) or own(df))
+    monkeypatch.setattr(summaries, "zone_partials_by_month", lambda df, own=summaries.zone_partials_by_month: sources.append(df) or own(df))
+    again = jobs.build_summaries(counted, zones, out, months=("2024_02", "2024_02"))
+    assert seen.value == fact.where("month(pickup_datetime) = 2").count()
+    assert len(sources) == 2 and not any(f in source.inputFiles() for source in sources for f in fact.inputFiles())
+    assert contents(again) == contents(jobs.build_summaries(fact, zones, scratch_path(spark, "new")))
