@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from curbline import fixed
 from curbline.functions import text
-from curbline.operators import shape, tagged
+from curbline.operators import joins, shape, tagged
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:
@@ -36,6 +36,22 @@ def distinct_on(
     return df.withColumn("__rank", F.row_number().over(window)).where("__rank = 1").drop("__rank")
 
 
+def distinct_in_time(
+    df: DataFrame, keys: Sequence[str], ts_col: str, order: Sequence[str | Column] = ()
+) -> DataFrame:
+    """As ``distinct_on``, by one shuffle that deals ranges of ``ts_col``, one of the keys, to the tasks.
+
+    A table stored by time needs no further one. A key of many rows would be in one task; such keys are
+    named by a sketch first, and their few first rows chosen apart.
+    """
+    code = F.xxhash64(*keys)
+    hot = joins.hot_keys(df.select(code.alias("__code")), "__code")
+    ranges = df.where(~code.isin(hot)) if hot else df
+    ranges = ranges.repartitionByRange(ts_col, *[k for k in keys if k != ts_col])
+    found = distinct_on(ranges, keys, order)
+    return found.unionByName(distinct_on(df.where(code.isin(hot)), keys, order)) if hot else found
+
+
 def dedup_by_key(
     df: DataFrame,
     keys: Sequence[str] = tuple(fixed.TRIP_KEY),

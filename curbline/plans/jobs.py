@@ -114,25 +114,27 @@ def publish(
     key: Sequence[str] = tuple(fixed.PRIMARY_KEY),
     check: Callable[[DataFrame], None] | None = None,
     rules: Mapping[str, Column] | None = None,
+    dealt: bool = False,
 ) -> DataFrame:
     """Replace or upsert the months of a table; returns those months as stored.
 
     The new image is written once, beside the table, and its months are then renamed into place from
     a journal. ``rules`` are counted during that write; ``check`` sees the written image. If either
     finds a fault, the table stays as it was. A replacement replaces the whole range: a stored
-    month for which it brings no rows is removed.
+    month for which it brings no rows is removed. ``dealt`` says that the rows of a month are together
+    already, in one task or a few, and need no shuffle of their own.
     """
-    return _put(rows, path, first, last, overwrite, key, check, rules, shape.add_year_month, _MONTHS)
+    return _put(rows, path, first, last, overwrite, key, check, rules, shape.add_year_month, _MONTHS, dealt)
 
 
-def _put(rows, path, first, last, overwrite, key, check, rules, add_columns, columns) -> DataFrame:
+def _put(rows, path, first, last, overwrite, key, check, rules, add_columns, columns, dealt=False) -> DataFrame:
     spark = rows.sparkSession
     partitions.recover(spark, path)
     if not overwrite:
         rows = _upserted(rows, path, first, last, key)
     observed = quality.Observed(rules or {})
     pending = partitions.pending_path(path)
-    image = tables.write_image(add_columns(observed.watch(rows)), f"{pending}/image", columns)
+    image = tables.write_image(add_columns(observed.watch(rows)), f"{pending}/image", columns, dealt=dealt)
     try:
         observed.require_none(path)
         if check is not None:
@@ -246,7 +248,7 @@ def fact_rows(frames: Mapping[str, DataFrame]) -> DataFrame:
     """Keyed trips per service as unique fact rows with cleaned codes.
 
     Unusable rows are dropped before the unique rows are chosen, so one shuffle
-    serves all services.
+    serves all services. It deals them by time, as the months of the table need them.
     """
     parts = []
     for service, frame in frames.items():
@@ -265,7 +267,7 @@ def fact_rows(frames: Mapping[str, DataFrame]) -> DataFrame:
     together = sets.union_services(parts).transform(
         clean.fill_defaults, {"payment_type": fixed.UNKNOWN_PAYMENT_TYPE}
     )
-    return keys.distinct_on(together, fixed.PRIMARY_KEY, ["cab_type"])
+    return keys.distinct_in_time(together, fixed.PRIMARY_KEY, "pickup_datetime", ["cab_type"])
 
 
 def build_fact(
@@ -292,6 +294,7 @@ def build_fact(
         last,
         overwrite=True,
         rules={f"{c} known": F.col(c).isNotNull() for c in ("dwid", "cab_type", "payment_type")},
+        dealt=True,
     )
 
 

@@ -23,10 +23,18 @@ MONTHS = ("year", "month")
 PARQUET = {"compression": "zstd"}
 
 
+def together(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Rows of a partition together."""
+    return df.hint("rebalance", *[F.col(c) for c in cols])
+
+
+def _in_order(df: DataFrame, cols: Sequence[str], ts_col: str | None) -> DataFrame:
+    """A partition's rows in order of time: a day's filter then skips row groups."""
+    return df if ts_col is None or ts_col not in df.columns else df.sortWithinPartitions(*cols, ts_col)
+
+
 def _gathered(df: DataFrame, cols: Sequence[str], ts_col: str | None = None) -> DataFrame:
-    """Rows of a partition together, and in order of time: a day's filter then skips row groups."""
-    rows = df.hint("rebalance", *[F.col(c) for c in cols])
-    return rows if ts_col is None or ts_col not in df.columns else rows.sortWithinPartitions(*cols, ts_col)
+    return _in_order(together(df, cols), cols, ts_col)
 
 
 def append_months(df: DataFrame, base: str, ts_col: str = "pickup_datetime") -> None:
@@ -40,15 +48,22 @@ def overwrite_months(df: DataFrame, base: str, ts_col: str = "pickup_datetime")
     rows = _gathered(shape.add_year_month(df, ts_col), MONTHS, ts_col)
     (
         rows.write.partitionBy(*MONTHS)
+        .options(**PARQUET)
         .option("partitionOverwriteMode", "dynamic")
         .mode("overwrite")
         .parquet(base)
     )
 
 
-def write_image(df: DataFrame, path: str, cols: Sequence[str], ts_col: str = "pickup_datetime") -> DataFrame:
-    """Write the partitions of a table image to a new path and read them back."""
-    _gathered(df, cols, ts_col).write.partitionBy(*cols).options(**PARQUET).parquet(path)
+def write_image(
+    df: DataFrame, path: str, cols: Sequence[str], ts_col: str = "pickup_datetime", dealt: bool = False
+) -> DataFrame:
+    """Write the partitions of a table image to a new path and read them back.
+
+    ``dealt`` says that the rows of a partition are together already, in one task or a few.
+    """
+    rows = _in_order(df if dealt else together(df, cols), cols, ts_col)
+    rows.write.partitionBy(*cols).options(**PARQUET).parquet(path)
     stored = T.StructType([*[f for f in df.schema.fields if f.name not in cols], *[df.schema[c] for c in cols]])
     return df.sparkSession.read.schema(stored).parquet(path)
 

@@ -165,3 +165,20 @@ def test_align_by_name_not_position(frame, rows):
     df = frame("vendor_id int, ratecode_id int, extra int", (1, 5, 0))
     target = schemas.struct([("ratecode_id", "int"), ("vendor_id", "int"), ("fare_amount", "float")])
     assert rows(shape.align_schema(df, target)) == [(5, 1, None)]
+
+
+def test_distinct_in_time_shuffles_once_and_keeps_hot_keys_apart(spark):
+    df = spark.range(6000).selectExpr(
+        "IF(id % 3 = 0, 'hot', concat('k', id % 1999)) AS dwid",
+        "timestamp_ntz'2024-01-01' + make_dt_interval(IF(id % 3 = 0, 0, CAST(id % 1999 % 60 AS INT))) AS at",
+        "IF(id % 5 = 0, NULL, CAST(id * 7 % 6000 AS INT)) AS v",
+    ).repartition(5)
+    found = keys.distinct_in_time(df, ["dwid", "at"], "at")
+    wanted = keys.distinct_on(df, ["dwid", "at"])
+    assert found.count() == wanted.count() == 2000 and found.exceptAll(wanted).count() == 0
+    # The hot key's rows are cut down in every task before they are shuffled.
+    hot = found._jdf.queryExecution().executedPlan().toString()
+    assert "__code" not in found.columns and hot.count("Exchange hashpartitioning") == 1
+    cool = spark.range(3000).selectExpr("concat('k', id) AS dwid", "timestamp_ntz'2024-01-01' + make_dt_interval(CAST(id % 60 AS INT)) AS at", "id AS v")
+    plan = keys.distinct_in_time(cool, ["dwid", "at"], "at")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Exchange rangepartitioning" in plan
